@@ -28,47 +28,52 @@ def warning_codes(contract: FeedContract) -> Column:
     return F.concat_ws("|", *[F.when(test, F.lit(code)) for code, test in raised.items()])
 
 
-def row_disposition(
+def hold(
     lines: DataFrame, contract: FeedContract, conflicts: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``_dq_status`` and ``_dq_reasons``.
+    """Add ``_held_for``: why a line cannot be trusted, NULL for a line that can.
 
     ``conflicts`` may be left out when conflicts block their delivery: no accepted line can match.
     """
+    ambiguous = F.when(F.col("_token_ambiguous"), F.lit("TOKEN_AMBIGUOUS"))
     if conflicts is None:
-        conflicting = lines.withColumn("_in_conflict", F.lit(False))
-    else:
-        on = [*contract.line_key, "_delivery_month"]
-        marked = conflicts.select(*on).withColumn("_hit", F.lit(True))
-        conflicting = (
-            lines.join(marked, on, "left")
-            .withColumn("_in_conflict", F.coalesce(F.col("_hit"), F.lit(False)))
-            .drop("_hit")
-        )
+        return lines.withColumn("_held_for", ambiguous)
+    on = [*contract.line_key, "_delivery_month"]
+    marked = conflicts.select(*on, F.lit("SAME_MONTH_CONFLICT").alias("_conflict"))
+    return lines.join(marked, on, "left").select(
+        *lines.columns, F.coalesce(F.col("_conflict"), ambiguous).alias("_held_for")
+    )
+
+
+def eligible(held: DataFrame) -> DataFrame:
+    """Lines that go on to silver; the test touches one narrow column."""
+    return held.where(F.col("_held_for").isNull())
+
+
+def grade(held: DataFrame, contract: FeedContract) -> DataFrame:
+    """Replace ``_held_for`` by ``_dq_status`` and ``_dq_reasons``."""
     warnings = warning_codes(contract)
     status = (
-        F.when(F.col("_in_conflict") | F.col("_token_ambiguous"), F.lit("QUARANTINE"))
+        F.when(F.col("_held_for").isNotNull(), F.lit("QUARANTINE"))
         .when(warnings != "", F.lit("WARN"))
         .otherwise(F.lit("PASS"))
     )
-    reasons = (
-        F.when(F.col("_in_conflict"), F.lit("SAME_MONTH_CONFLICT"))
-        .when(F.col("_token_ambiguous"), F.lit("TOKEN_AMBIGUOUS"))
-        .otherwise(warnings)
-    )
-    return conflicting.select(
-        *lines.columns, status.alias("_dq_status"), reasons.alias("_dq_reasons")
-    )
+    return held.withColumns(
+        {"_dq_status": status, "_dq_reasons": F.coalesce(F.col("_held_for"), warnings)}
+    ).drop("_held_for")
 
 
-def eligible(disposed: DataFrame) -> DataFrame:
-    return disposed.where(F.col("_dq_status") != "QUARANTINE")
+def row_disposition(
+    lines: DataFrame, contract: FeedContract, conflicts: DataFrame | None = None
+) -> DataFrame:
+    """Every accepted line with its status and reasons."""
+    return grade(hold(lines, contract, conflicts), contract)
 
 
-def quarantine(disposed: DataFrame, contract: FeedContract, ingested_at: Column) -> DataFrame:
-    """Quarantined lines in the published layout; they are neither current nor superseded."""
+def quarantine(held: DataFrame, contract: FeedContract, ingested_at: Column) -> DataFrame:
+    """Held lines in the published layout; they are neither current nor superseded."""
     return (
-        disposed.where(F.col("_dq_status") == "QUARANTINE")
+        grade(held.where(F.col("_held_for").isNotNull()), contract)
         .withColumns(
             {"_ingested_at": ingested_at, "is_current": F.lit(False), "is_superseded": F.lit(False)}
         )

@@ -62,7 +62,7 @@ def attach_identity(lines: DataFrame, decisions: DataFrame, tokens: DataFrame) -
 
 def token_patient_ambiguous(lines: DataFrame) -> DataFrame:
     """Tokens the vendor sent with more than one patient id."""
-    pairs = lines.where(F.col("member_token").isNotNull()).groupBy("member_token", "patient_id").agg()
+    pairs = lines.where(F.col("member_token").isNotNull()).select("member_token", "patient_id").distinct()
     return (
         pairs.groupBy("member_token")
         .agg(F.count("patient_id").alias("patient_count"))

@@ -10,21 +10,21 @@ from pyspark.sql import types as T
 
 
 def reconciliation(
-    decisions: DataFrame, disposed: DataFrame, latest: DataFrame, silver: DataFrame
+    decisions: DataFrame, held: DataFrame, latest: DataFrame, silver: DataFrame
 ) -> DataFrame:
     """Rows of each delivery by outcome.
 
-    Graded rows, winning versions and published lines are counted from their own tables; a line lost
+    Accepted rows, winning versions and published lines are counted from their own tables; a line lost
     or multiplied between them shows up as a difference. Broadcast sides hold a row per delivery.
     """
-    is_quarantined = F.col("_dq_status") == "QUARANTINE"
-    graded = disposed.groupBy("_delivery_month").agg(
-        F.count_if(is_quarantined).alias("_quarantined"), F.count_if(~is_quarantined).alias("_kept")
+    sorted_out = held.groupBy("_delivery_month").agg(
+        F.count_if(F.col("_held_for").isNotNull()).alias("_quarantined"),
+        F.count_if(F.col("_held_for").isNull()).alias("_kept"),
     )
     winning = latest.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias("_winners"))
     published = silver.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias("_published"))
     joined = decisions
-    for part in (graded, winning, published):
+    for part in (sorted_out, winning, published):
         joined = joined.join(F.broadcast(part), "_delivery_month", "left")
 
     def counted(name: str):

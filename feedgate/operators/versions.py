@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedgate.contract import FeedContract
+from feedgate.operators.disposition import grade
 from feedgate.functions.ranking import top_row
 
 # Copies numbered by one task of dedup_rank, and hash digits that split one key in version_rank.
@@ -143,7 +144,7 @@ def silver_line(
     version = ["_row_hash", "_key", "_delivery_month"]
     key = F.struct(*contract.line_key)
     stable = [F.col(c).asc_nulls_last() for c in ("_source_file", *contract.columns)]
-    single = top_row(lines.withColumn("_key", key), version, stable)
+    single = grade(top_row(lines.withColumn("_key", key), version, stable), contract)
     winners = latest.select(key.alias("_key"), "_row_hash", "_delivery_month", "is_superseded")
     return (
         single.join(winners, version)

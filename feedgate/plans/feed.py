@@ -71,18 +71,22 @@ class FeedPlan:
         return identity.accepted(self.identified, self.decisions)
 
     @cached_property
-    def disposed(self) -> DataFrame:
+    def held(self) -> DataFrame:
         conflicts = None if self.contract.conflicts_block else self.conflicts
-        return disposition.row_disposition(self.accepted, self.contract, conflicts)
+        return disposition.hold(self.accepted, self.contract, conflicts)
+
+    @cached_property
+    def disposed(self) -> DataFrame:
+        return disposition.grade(self.held, self.contract)
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return disposition.eligible(self.disposed)
+        return disposition.eligible(self.held)
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        held = disposition.quarantine(self.disposed, self.contract, self.ingested_at)
-        return self._keep("silver_claim_line_quarantine", held)
+        lines = disposition.quarantine(self.held, self.contract, self.ingested_at)
+        return self._keep("silver_claim_line_quarantine", lines)
 
     @cached_property
     def earliest(self) -> DataFrame:
@@ -93,10 +97,13 @@ class FeedPlan:
         return self._keep("latest", versions.latest_versions(self.earliest, self.contract))
 
     @cached_property
-    def silver(self) -> DataFrame:
+    def silver_lines(self) -> DataFrame:
         marked = versions.mark_superseded(self.latest)
-        lines = versions.silver_line(self.eligible, marked, self.contract, self.ingested_at)
-        return self._keep("silver_claim_line", lines)
+        return versions.silver_line(self.eligible, marked, self.contract, self.ingested_at)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return self._keep("silver_claim_line", self.silver_lines)
 
     @cached_property
     def headers(self) -> DataFrame:
@@ -104,7 +111,7 @@ class FeedPlan:
 
     @cached_property
     def reconciliation(self) -> DataFrame:
-        counted = reconcile.reconciliation(self.decisions, self.disposed, self.latest, self.silver)
+        counted = reconcile.reconciliation(self.decisions, self.held, self.latest, self.silver)
         return self._keep("reconciliation", counted)
 
     @cached_property
