@@ -65,6 +65,9 @@ UNION ALL
 SELECT 'T' || cast(c_custkey AS string), 'V' || cast(c_custkey + 1000000 AS string) FROM {customer} WHERE c_custkey % 50 = 0
 """
 
+# Deliveries arrive in part files of at most this many lines.
+LINES_PER_FILE = 25_000
+
 # Orders at scale factor 1 times the sample factor of 8 used there.
 SCALED_ORDERS = 12_000_000
 
@@ -113,7 +116,7 @@ def write_deliveries(spark: SparkSession, sf_dir: str, folder: str) -> tuple[lis
         delimited = month in ("2025-09", "2025-12")
         name = f"claims_{month.replace('-', '')}.{'csv' if delimited else 'parquet'}"
         delivery = Delivery(f"{folder}/{name}")
-        writer = _physical(claims, month).write
+        writer = _physical(claims, month).write.option("maxRecordsPerFile", LINES_PER_FILE)
         if delimited:
             writer.csv(delivery.path, sep="|", header=True, escape='"')
         else:

@@ -52,8 +52,8 @@ def feed(spark: SparkSession, sf_dir: str) -> Feed:
             graph=source.read_dimension(spark, graph),
             expected=source.expected_deliveries(spark, written),
             contract=fixture.contract(spark, sf_dir),
-            ingested_at=F.lit(RUN_TIME).cast("timestamp"),
             keep=work.keep,
+            ingested_at=F.lit(RUN_TIME).cast("timestamp"),
         )
         _feeds[key] = Feed(written, graph, work, plan)
     return _feeds[key]
@@ -140,7 +140,7 @@ def scan_tokens(f: Feed) -> DataFrame:
 @query
 def inventory(f: Feed) -> DataFrame:
     """Without the byte size, which depends on the writer."""
-    listed = inventory_files(_spark(f), f.deliveries)
+    listed = inventory_files(_spark(f), source.open_feed(_spark(f), f.deliveries))
     return listed.withColumn("s3_key", F.element_at(F.split("s3_key", "/"), -1)).drop("size_bytes")
 
 
@@ -278,7 +278,7 @@ def replays(f: Feed) -> DataFrame:
 
 @query
 def version_rank(f: Feed) -> DataFrame:
-    return versions.version_rank(f.plan.earliest, f.plan.contract).drop("_replaces")
+    return versions.version_rank(f.plan.earliest, f.plan.contract).drop("_line_id", "_replaces")
 
 
 @query

@@ -8,35 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedgate.operators.versions import DROPPED
+
 
 def reconciliation(
-    decisions: DataFrame, held: DataFrame, latest: DataFrame, silver: DataFrame
+    decisions: DataFrame, held: DataFrame, excepted: DataFrame, silver: DataFrame
 ) -> DataFrame:
     """Rows of each delivery by outcome.
 
-    Accepted rows, winning versions and published lines are counted from their own tables; a line lost
-    or multiplied between them shows up as a difference. Broadcast sides hold a row per delivery.
+    Quarantined, dropped and published lines are counted from three tables; a line lost or multiplied
+    between them shows up as a difference. Broadcast sides hold a row per delivery.
     """
-    sorted_out = held.groupBy("_delivery_month").agg(
-        F.count_if(F.col("_held_for").isNotNull()).alias("_quarantined"),
-        F.count_if(F.col("_held_for").isNull()).alias("_kept"),
-    )
-    winning = latest.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias("_winners"))
-    published = silver.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias("_published"))
-    joined = decisions
-    for part in (sorted_out, winning, published):
-        joined = joined.join(F.broadcast(part), "_delivery_month", "left")
 
-    def counted(name: str):
-        return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
+    def per_delivery(rows: DataFrame, name: str) -> DataFrame:
+        return F.broadcast(rows.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias(name)))
 
+    parts = {
+        "quarantine_rows": held.where(F.col("_held_for").isNotNull()),
+        "deduplicated_rows": excepted.where(F.col("_exception") == DROPPED),
+        "silver_eligible_rows": silver,
+    }
+    joined = decisions
+    for name, rows in parts.items():
+        joined = joined.join(per_delivery(rows, name), "_delivery_month", "left")
     return joined.select(
         "_delivery_month",
         "decision",
         F.col("total_rows").alias("raw_rows"),
-        counted("_quarantined").alias("quarantine_rows"),
-        (counted("_kept") - counted("_winners")).alias("deduplicated_rows"),
-        counted("_published").alias("silver_eligible_rows"),
+        *[F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name) for name in parts],
     )
 
 

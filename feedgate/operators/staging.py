@@ -31,11 +31,9 @@ def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
     }
 
     def aligned(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            *[
-                as_text(F.col(f.name), f.dataType).alias(f.name) if f.name in mixed else F.col(f.name)
-                for f in frame.schema.fields
-            ]
+        as_sent = {f.name: f.dataType for f in frame.schema.fields}
+        return frame.withColumns(
+            {name: as_text(F.col(name), as_sent[name]) for name in mixed if name in as_sent}
         )
 
     return reduce(

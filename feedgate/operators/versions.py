@@ -1,7 +1,8 @@
 """Collapse exact replays, keep the latest version of each line, mark replaced claims.
 
-All ranking happens on slim rows (key, hash, delivery, replaced claim). Only the winning versions go
-back for their full row, so the wide lines are shuffled once.
+All ranking happens on slim rows (line id, key, hash, delivery, replaced claim). What comes back to the
+full lines is only the list of exceptions: lines that are dropped or superseded. It is joined on the
+unique line id, so the wide join has no hot key, and it is broadcast while it is provably small.
 """
 
 from __future__ import annotations
@@ -13,24 +14,40 @@ from feedgate.contract import FeedContract
 from feedgate.operators.disposition import grade
 from feedgate.functions.ranking import top_row
 
+LINE_ID = "_line_id"
+DROPPED = "dropped"
+SUPERSEDED = "superseded"
+
+# Exceptions up to this many rows are broadcast: a line id and a word each, about 100 MB in memory.
+BROADCAST_ROWS = 1_000_000
+
 # Copies numbered by one task of dedup_rank, and hash digits that split one key in version_rank.
 COPIES_PER_CHUNK = 10_000
 HASH_DIGITS = 3
 
 
+def with_line_id(lines: DataFrame) -> DataFrame:
+    """Give each line a unique number.
+
+    The number depends on how Spark split the input, so the result has to be written before it is
+    used twice.
+    """
+    return lines.withColumn(LINE_ID, F.monotonically_increasing_id())
+
+
 def slim_versions(lines: DataFrame, contract: FeedContract) -> DataFrame:
     """What ranking needs to know about a line."""
     replaces = F.when(
         F.col("claim_freq_code") == contract.replacement_code, F.col("original_claim_id")
     )
     return lines.select(
-        *contract.line_key, "_row_hash", "_delivery_month", replaces.alias("_replaces")
+        LINE_ID, *contract.line_key, "_row_hash", "_delivery_month", replaces.alias("_replaces")
     )
 
 
 def earliest_copies(slim: DataFrame, contract: FeedContract) -> DataFrame:
     """One row per key and content: the copy delivered first."""
-    order = [F.col("_delivery_month").asc_nulls_last(), F.col("_replaces").asc_nulls_last()]
+    order = [F.col("_delivery_month").asc_nulls_last(), F.col(LINE_ID)]
     return top_row(slim, ["_row_hash", *contract.line_key], order)
 
 
@@ -40,15 +57,21 @@ def latest_versions(earliest: DataFrame, contract: FeedContract) -> DataFrame:
     return top_row(earliest, contract.line_key, order)
 
 
-def mark_superseded(latest: DataFrame) -> DataFrame:
-    """A version is superseded when the latest version of some replacement line names its claim."""
-    replaced = (
-        latest.where(F.col("_replaces").isNotNull())
-        .select(F.col("_replaces").alias("_replaced_claim"))
-        .distinct()
-    )
-    return latest.join(replaced, F.col("claim_id") == F.col("_replaced_claim"), "left").select(
-        *latest.columns, F.col("_replaced_claim").isNotNull().alias("is_superseded")
+def superseded(latest: DataFrame) -> DataFrame:
+    """Latest versions whose claim is named by the latest version of some replacement line.
+
+    The replaced ids are reduced to distinct values before the join. A claim of very many lines is
+    split by adaptive execution, and a small id list is broadcast once its size is measured.
+    """
+    replaced = latest.where(F.col("_replaces").isNotNull()).select(F.col("_replaces").alias("claim_id"))
+    return latest.join(replaced.distinct(), "claim_id", "left_semi")
+
+
+def exceptions(slim: DataFrame, latest: DataFrame) -> DataFrame:
+    """Eligible lines that are not plainly current, by line id: dropped or superseded."""
+    dropped = slim.join(latest.select(LINE_ID), LINE_ID, "left_anti")
+    return dropped.select(LINE_ID, "_delivery_month", F.lit(DROPPED).alias("_exception")).unionByName(
+        superseded(latest).select(LINE_ID, "_delivery_month", F.lit(SUPERSEDED).alias("_exception"))
     )
 
 
@@ -134,20 +157,32 @@ def version_rank(earliest: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def silver_line(
-    lines: DataFrame, latest: DataFrame, contract: FeedContract, ingested_at: Column
+    lines: DataFrame,
+    excepted: DataFrame,
+    contract: FeedContract,
+    ingested_at: Column,
+    broadcast_exceptions: bool = False,
 ) -> DataFrame:
     """Full rows of the latest versions, current unless superseded.
 
-    The key travels as a struct, which compares NULL parts as equal, so the copy selection and the
-    join to the winners share one partitioning of the wide rows.
+    The caller sets ``broadcast_exceptions`` after counting them; otherwise both sides are shuffled on
+    the line id, which spreads evenly whatever the keys look like.
     """
-    version = ["_row_hash", "_key", "_delivery_month"]
-    key = F.struct(*contract.line_key)
-    stable = [F.col(c).asc_nulls_last() for c in ("_source_file", *contract.columns)]
-    single = grade(top_row(lines.withColumn("_key", key), version, stable), contract)
-    winners = latest.select(key.alias("_key"), "_row_hash", "_delivery_month", "is_superseded")
+    marks = excepted.select(LINE_ID, "_exception")
+    if broadcast_exceptions:
+        marks = F.broadcast(marks)
+    is_superseded = F.coalesce(F.col("_exception") == SUPERSEDED, F.lit(False))
+    kept = lines.join(marks, LINE_ID, "left").where(
+        F.col("_exception").isNull() | (F.col("_exception") != DROPPED)
+    )
     return (
-        single.join(winners, version)
-        .withColumns({"_ingested_at": ingested_at, "is_current": ~F.col("is_superseded")})
+        grade(kept, contract)
+        .withColumns(
+            {
+                "_ingested_at": ingested_at,
+                "is_current": ~is_superseded,
+                "is_superseded": is_superseded,
+            }
+        )
         .select(*contract.published_columns)
     )

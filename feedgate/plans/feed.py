@@ -1,7 +1,7 @@
 """All stages of the feed over one staged table.
 
-Stages are lazy. ``keep`` decides what happens at the few points that several later stages read; by
-default nothing is materialised, the build writes them to shared storage.
+Stages are lazy up to the few tables that several later stages read; ``keep`` writes those to shared
+storage and reads them back.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from feedgate.contract import FeedContract
 from feedgate.operators import disposition, gate, header, identity, measures, reconcile, staging, versions
@@ -18,10 +17,6 @@ from feedgate.operators import disposition, gate, header, identity, measures, re
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def _lazy(name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 class FeedPlan:
     def __init__(
         self,
@@ -29,14 +24,14 @@ class FeedPlan:
         graph: DataFrame,
         expected: DataFrame,
         contract: FeedContract,
-        ingested_at: Column | None = None,
-        keep: Keep = _lazy,
+        keep: Keep,
+        ingested_at: Column,
     ):
         self.staged = staged
         self.graph = graph
         self.expected = expected
         self.contract = contract
-        self.ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
+        self.ingested_at = ingested_at
         self._keep = keep
 
     @cached_property
@@ -50,7 +45,8 @@ class FeedPlan:
     @cached_property
     def identified(self) -> DataFrame:
         """Typed lines with hash, person id and token flags: the one wide table all stages read."""
-        return self._keep("identified", identity.identify(self.normalized, self.tokens))
+        lines = identity.identify(self.normalized, self.tokens)
+        return self._keep("identified", versions.with_line_id(lines))
 
     @cached_property
     def conflicts(self) -> DataFrame:
@@ -88,18 +84,28 @@ class FeedPlan:
         lines = disposition.quarantine(self.held, self.contract, self.ingested_at)
         return self._keep("silver_claim_line_quarantine", lines)
 
+    @cached_property
+    def slim(self) -> DataFrame:
+        return versions.slim_versions(self.eligible, self.contract)
+
     @cached_property
     def earliest(self) -> DataFrame:
-        return versions.earliest_copies(versions.slim_versions(self.eligible, self.contract), self.contract)
+        return versions.earliest_copies(self.slim, self.contract)
 
     @cached_property
     def latest(self) -> DataFrame:
         return self._keep("latest", versions.latest_versions(self.earliest, self.contract))
 
+    @cached_property
+    def exceptions(self) -> DataFrame:
+        return self._keep("exceptions", versions.exceptions(self.slim, self.latest))
+
     @cached_property
     def silver_lines(self) -> DataFrame:
-        marked = versions.mark_superseded(self.latest)
-        return versions.silver_line(self.eligible, marked, self.contract, self.ingested_at)
+        few = self.exceptions.count() <= versions.BROADCAST_ROWS
+        return versions.silver_line(
+            self.eligible, self.exceptions, self.contract, self.ingested_at, broadcast_exceptions=few
+        )
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -111,7 +117,7 @@ class FeedPlan:
 
     @cached_property
     def reconciliation(self) -> DataFrame:
-        counted = reconcile.reconciliation(self.decisions, self.held, self.latest, self.silver)
+        counted = reconcile.reconciliation(self.decisions, self.held, self.exceptions, self.silver)
         return self._keep("reconciliation", counted)
 
     @cached_property

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +75,20 @@ def read_delivery(spark: SparkSession, delivery: Delivery) -> DataFrame:
     return with_lineage(read_physical(spark, delivery), delivery)
 
 
+def open_feed(spark: SparkSession, deliveries: Sequence[Delivery]) -> dict[Delivery, DataFrame | None]:
+    """The lazy frame of every delivery; None where no column can be read from it."""
+    frames: dict[Delivery, DataFrame | None] = {}
+    for delivery in deliveries:
+        try:
+            frame = read_physical(spark, delivery)
+        except PySparkException:
+            frame = None
+        frames[delivery] = with_lineage(frame, delivery) if frame is not None and frame.columns else None
+    return frames
+
+
 def read_feed(spark: SparkSession, deliveries: Sequence[Delivery]) -> DataFrame:
-    """All deliveries as one staged table."""
+    """All deliveries as one staged table; an unreadable one fails the read."""
     return union_deliveries([read_delivery(spark, d) for d in deliveries])
 
 
