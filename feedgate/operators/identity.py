@@ -30,8 +30,9 @@ def token_vi_ambiguous(tokens: DataFrame) -> DataFrame:
 def identify(lines: DataFrame, tokens: DataFrame) -> DataFrame:
     """Left join to the resolved tokens; one row per token, so no line is multiplied.
 
-    No join hint: the token table grows with the population. Adaptive execution broadcasts it when
-    its measured size is small and otherwise splits the partitions of hot tokens, NULL included.
+    No join hint: the token table grows with the population. Read from a written table, Spark
+    broadcasts it while its files are small and otherwise splits the partitions of hot tokens, NULL
+    included; it does not split a join right above the aggregation that resolves the tokens.
     """
     known = tokens.where(F.col("member_token").isNotNull()).select(
         F.col("member_token").alias("_graph_token"),

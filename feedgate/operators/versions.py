@@ -57,22 +57,26 @@ def latest_versions(earliest: DataFrame, contract: FeedContract) -> DataFrame:
     return top_row(earliest, contract.line_key, order)
 
 
-def superseded(latest: DataFrame) -> DataFrame:
-    """Latest versions whose claim is named by the latest version of some replacement line.
+def replaced_claims(latest: DataFrame) -> DataFrame:
+    """Claims named by the latest version of some replacement line, each once."""
+    named = latest.where(F.col("_replaces").isNotNull())
+    return named.select(F.col("_replaces").alias("claim_id")).distinct()
 
-    The replaced ids are reduced to distinct values before the join. A claim of very many lines is
-    split by adaptive execution, and a small id list is broadcast once its size is measured.
-    """
-    replaced = latest.where(F.col("_replaces").isNotNull()).select(F.col("_replaces").alias("claim_id"))
-    return latest.join(replaced.distinct(), "claim_id", "left_semi")
 
+def exceptions(slim: DataFrame, latest: DataFrame, replaced: DataFrame) -> DataFrame:
+    """Eligible lines that are not plainly current, by line id: dropped or superseded.
 
-def exceptions(slim: DataFrame, latest: DataFrame) -> DataFrame:
-    """Eligible lines that are not plainly current, by line id: dropped or superseded."""
+    ``latest`` and ``replaced`` are best read from written tables: Spark then broadcasts a small one by
+    its file size, and can split the partitions of a claim with very many lines otherwise, which it
+    does not do right above an aggregation.
+    """
     dropped = slim.join(latest.select(LINE_ID), LINE_ID, "left_anti")
-    return dropped.select(LINE_ID, "_delivery_month", F.lit(DROPPED).alias("_exception")).unionByName(
-        superseded(latest).select(LINE_ID, "_delivery_month", F.lit(SUPERSEDED).alias("_exception"))
-    )
+    superseded = latest.join(replaced, "claim_id", "left_semi")
+
+    def tagged(rows: DataFrame, reason: str) -> DataFrame:
+        return rows.select(LINE_ID, "_delivery_month", F.lit(reason).alias("_exception"))
+
+    return tagged(dropped, DROPPED).unionByName(tagged(superseded, SUPERSEDED))
 
 
 def copies(lines: DataFrame, contract: FeedContract) -> DataFrame:

@@ -40,7 +40,7 @@ class FeedPlan:
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return identity.resolve_tokens(self.graph)
+        return self._keep("tokens", identity.resolve_tokens(self.graph))
 
     @cached_property
     def identified(self) -> DataFrame:
@@ -79,10 +79,13 @@ class FeedPlan:
     def eligible(self) -> DataFrame:
         return disposition.eligible(self.held)
 
+    @cached_property
+    def quarantine_lines(self) -> DataFrame:
+        return disposition.quarantine(self.held, self.contract, self.ingested_at)
+
     @cached_property
     def quarantine(self) -> DataFrame:
-        lines = disposition.quarantine(self.held, self.contract, self.ingested_at)
-        return self._keep("silver_claim_line_quarantine", lines)
+        return self._keep("silver_claim_line_quarantine", self.quarantine_lines)
 
     @cached_property
     def slim(self) -> DataFrame:
@@ -96,9 +99,14 @@ class FeedPlan:
     def latest(self) -> DataFrame:
         return self._keep("latest", versions.latest_versions(self.earliest, self.contract))
 
+    @cached_property
+    def replaced(self) -> DataFrame:
+        return self._keep("replaced", versions.replaced_claims(self.latest))
+
     @cached_property
     def exceptions(self) -> DataFrame:
-        return self._keep("exceptions", versions.exceptions(self.slim, self.latest))
+        found = versions.exceptions(self.slim, self.latest, self.replaced)
+        return self._keep("exceptions", found)
 
     @cached_property
     def silver_lines(self) -> DataFrame:

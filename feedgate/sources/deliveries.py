@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def open_feed(spark: SparkSession, deliveries: Sequence[Delivery]) -> dict[Deliv
     for delivery in deliveries:
         try:
             frame = read_physical(spark, delivery)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):  # a broken footer surfaces as the latter
             frame = None
         frames[delivery] = with_lineage(frame, delivery) if frame is not None and frame.columns else None
     return frames
