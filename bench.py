@@ -47,6 +47,10 @@ def session() -> SparkSession:
         # Small tables here: let adaptive execution split a month between the cores.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # A build generates more classes than the default cache keeps.
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
+        # Write partitions side by side instead of sorting the wide rows first.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -45,7 +45,12 @@ def contract_measures(identified: DataFrame, contract: FeedContract) -> DataFram
         F.count(F.lit(1)).alias("total_rows"),
         *[share(predicate).alias(name) for name, predicate in rates.items()],
         F.max(is_delimited(F.col("_source_file")).cast("int")).alias("is_csv"),
-        F.max("_physical_format").alias("physical_format"),
+        F.max((F.col("_physical_format") == "parquet").cast("int")).alias("_is_parquet"),
+    )
+    # Numeric buffers only: a string maximum would turn the hash aggregation into a sort.
+    highest = F.when(F.col("_is_parquet") == 1, F.lit("parquet")).otherwise(F.lit("csv"))
+    measured = measured.select(
+        "_delivery_month", "total_rows", *rates, "is_csv", highest.alias("physical_format")
     )
     scaled = F.col("total_rows") * F.lit(c.sample_factor)
     return measured.withColumns(
