@@ -52,15 +52,17 @@ def eligible(held: DataFrame) -> DataFrame:
 
 def grade(held: DataFrame, contract: FeedContract) -> DataFrame:
     """Replace ``_held_for`` by ``_dq_status`` and ``_dq_reasons``."""
-    warnings = warning_codes(contract)
     status = (
         F.when(F.col("_held_for").isNotNull(), F.lit("QUARANTINE"))
-        .when(warnings != "", F.lit("WARN"))
+        .when(F.col("_warnings") != "", F.lit("WARN"))
         .otherwise(F.lit("PASS"))
     )
-    return held.withColumns(
-        {"_dq_status": status, "_dq_reasons": F.coalesce(F.col("_held_for"), warnings)}
-    ).drop("_held_for")
+    reasons = F.coalesce(F.col("_held_for"), F.col("_warnings"))
+    return (
+        held.withColumn("_warnings", warning_codes(contract))
+        .withColumns({"_dq_status": status, "_dq_reasons": reasons})
+        .drop("_held_for", "_warnings")
+    )
 
 
 def row_disposition(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from checks import fixture
 from conftest import CLEAN, GRAPH, collected, explained
 from pyspark.sql import functions as F
 
-from feedgate import FeedContract
+from feedgate import FeedContract, job
 from feedgate.operators import reconcile, versions
 from feedgate.plans.build import AUDIT_TABLES, SILVER_TABLES, BuildCheckError, build, check, register, reload_test
 from feedgate.plans.workspace import Workspace
@@ -109,6 +110,19 @@ def test_reload(spark, deliveries):
     assert first == second and first.silver_lines == TOTALS[0]
 
 
+def test_job(deliveries, spark, capsys):
+    found, graph = deliveries
+    out = Workspace(spark, "job").path("tables")
+    paths = [d.path for d in found]
+    job.main(["inventory", "--deliveries", *paths])
+    listed = json.loads(capsys.readouterr().out)
+    assert [r["row_count"] for r in listed][-1] == 0 and sum(r["row_count"] for r in listed) == RAW_LINES
+    job.main(["run", "--deliveries", *paths, "--tokens", graph, "--out", out, "--sample-factor", "8000"])
+    report = json.loads(capsys.readouterr().out)
+    assert (report["silver_lines"], report["quarantine_lines"]) == (TOTALS[0], TOTALS[3])
+    assert {r["_delivery_month"]: (r["decision"], r["reason_codes"]) for r in report["promotion_decisions"]} == DECISIONS
+
+
 def test_unreadable_delivery_stops_the_build(spark, deliveries, tmp_path):
     found, graph = deliveries
     (tmp_path / "claims_202504.parquet").write_bytes(b"broken")
