@@ -34,9 +34,9 @@ from feedgate.llm.words import Words, words
 FIT_ROWS = 40_000
 FOLDS = 5
 CALIBRATION_FOLD = 4
-WORD_BITS = 18
-STEM_BITS = 16
-STEM_BYTES = 4
+WORD_BITS = 20
+STEM_BITS = 18
+STEM_BYTES = 5
 STEM_PRIOR = 20.0
 WORD_PRIOR = 5.0
 DEVIATIONS = 2.0
