@@ -11,12 +11,13 @@ form a component of their own. Rows with the same words are one node, whatever t
 that repeat a ``doc_id`` get one result each. Other columns, whatever their names, are not read. An empty
 table gives an empty result.
 
-Bounds: with 32 bands of 5 registers a pair at similarity 0.85 shares no band with probability 7e-9 (3e-6 at
-0.8). Nodes are 64-bit hashes of whole sets: among n different sets, about n * n / 4e19 pairs are mistaken.
+Bounds: the number of bands follows from the threshold, so that a pair exactly at it shares no band with
+probability 5e-6 and is estimated too low with probability 3e-6; more similar pairs are safer. Nodes are 64-bit hashes of whole sets: among n different sets, about n * n / 4e19 pairs are mistaken.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +30,26 @@ from feedgate.llm.components import components
 from feedgate.llm.words import mix, odd_constants, sets, words
 from feedgate.plans.workspace import Workspace
 
-BANDS = 32
 BAND_ROWS = 5
-# Pairs of a bucket of up to so many rows are joined; those of larger ones are compared by signature first,
-# in blocks, and left out when that estimate lies so many standard deviations below the threshold (a pair
-# at the threshold is lost with probability 3e-6).
+# Probability to lose a link exactly at the threshold, first by sharing no band, then by an estimate too low.
+MISS = 5e-6
+SIGMAS = 4.5
+# All pairs of a bucket of up to so many rows are estimated; larger buckets go by their smallest node first,
+# and what that leaves in several components is compared in pairs of blocks.
 JOIN_UP_TO = 20
 BLOCK = 400
-SIGMAS = 4.5
+FILTER_BITS = 1 << 23
+
+
+def bands_for(percent: int) -> int:
+    """Bands that a pair at the threshold all misses with probability MISS at most."""
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** BAND_ROWS))
+
+
+def least_agreement(percent: int) -> int:
+    """Registers that must agree before a pair is compared in full."""
+    registers, share = bands_for(percent) * BAND_ROWS, percent / 100
+    return math.floor(registers * share - SIGMAS * math.sqrt(registers * share * (1 - share)))
 
 
 def signatures(elements: np.ndarray, doc: np.ndarray, docs: int, registers: int) -> np.ndarray:
@@ -126,8 +139,7 @@ def _alike(percent: int):
     A pair is looked at in the bucket of its first common band alone. Signatures that agree too rarely end
     it early. Low halves can only add to an intersection, so no link is missed; links are confirmed later.
     """
-    registers = BANDS * BAND_ROWS
-    bound = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / registers) ** 0.5
+    registers, least = bands_for(percent) * BAND_ROWS, least_agreement(percent)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(-1, registers)
@@ -139,7 +151,7 @@ def _alike(percent: int):
         found = []
         for i in left:
             to = right[(np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent) & (root[right] != root[i])]
-            to = to[(sig[to] == sig[i]).sum(axis=1) >= bound * registers]
+            to = to[(sig[to] == sig[i]).sum(axis=1) >= least]
             to = to[bands[i][(bands[to] == bands[i]).argmax(axis=1)] == bucket]
             if not len(to):
                 continue
@@ -166,21 +178,41 @@ def _blocks(rows: DataFrame) -> DataFrame:
     )
 
 
-def _mixed(rows: DataFrame, least: int) -> DataFrame:
-    """Buckets whose rows do not all belong to one component yet."""
-    sizes = rows.groupBy("bucket").agg(
-        F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    return sizes.where(f"low <> high and rows >= {least}").select("bucket", "rows")
+def _agreement(left: pd.Series, right: pd.Series) -> pd.Series:
+    """In how many registers two signatures agree."""
+    if not len(left):
+        return pd.Series([], dtype="int32")
+    a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(left), -1) for x in (left, right))
+    return pd.Series((a == b).sum(axis=1).astype(np.int32))
+
+
+def maybe_in(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows whose id may be among ``ids``: a bitmap of FILTER_BITS hashed ids, so its broadcast has a fixed size.
+
+    It lets more rows pass as the ids grow, and never drops a row that is among them.
+    """
+    part = 8 * 4096
+
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+
+    at = place(ids.columns[0])
+    bits = ids.select((at / part).cast("int").alias("_part"), (at % part).alias("_bit"))
+    bits = bits.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    asked = rows.withColumn("_at", place(column)).withColumn("_part", (F.col("_at") / part).cast("int"))
+    byte = F.expr(f"cast(conv(hex(substring(_bits, cast(_at % {part} div 8 as int) + 1, 1)), 16, 10) as int)")
+    is_set = F.expr("cast(pow(2, _at % 8) as int)")
+    found = asked.join(F.broadcast(bits), "_part").where(byte.bitwiseAND(is_set) != 0)
+    return found.select(rows.columns)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
 
-    Links: 100 * intersection >= percent * union. First every bucket is compared with its smallest node
-    alone; a large group of copies is joined by that and never compared pair by pair. Only buckets that then
-    still hold several components are compared in full, across components, the large ones in blocks of bounded
-    size by signature first.
+    Links: 100 * intersection >= percent * union. Pairs of a small bucket are compared; in a large one every
+    node is first compared with the smallest alone, so a large group of copies is joined without comparing it
+    pair by pair. Only large buckets that still hold several components are then compared across these.
+    Signatures decide which pairs are worth the full sets, and only for these texts are sets built again.
     """
     spark = docs.sparkSession
     keep = Workspace(spark, "near-dedup").keep
@@ -188,9 +220,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     kind = text.schema["doc_id"].dataType.simpleString()
     prints = keep(
         "prints",
-        text.mapInArrow(_prints(shingle, BANDS, BAND_ROWS), f"doc_id {kind}, n_shingles long, node long, bands array<long>, sig binary"),
+        text.mapInArrow(
+            _prints(shingle, bands_for(percent), BAND_ROWS),
+            f"doc_id {kind}, n_shingles long, node long, bands array<long>, sig binary",
+        ),
     )
     filled = prints.where("n_shingles > 0")
+    lows = keep("lows", filled.groupBy("node").agg(F.min("doc_id").alias("low")))
     rows = filled.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     stars = keep(
         "stars",
@@ -200,8 +236,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         .select("bucket", "center"),
     )
     members = keep("members", rows.join(stars, "bucket").distinct())
+    sizes = keep("sizes", members.groupBy("bucket").agg(F.count("*").alias("rows")))
+
+    def first_copies(nodes: DataFrame, *columns: str) -> DataFrame:
+        """The given columns of one row for each node. Joined on node and id, so many copies of a node spread out."""
+        of = lows.join(nodes, "node", "left_semi").select(F.col("node").alias("of"), "low")
+        found = filled.join(of, (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("low")), "left_semi")
+        return found.select("node", *columns).dropDuplicates(["node"])
+
+    # Pairs worth a comparison.
+    alike = f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
+    few = keep("few", members.join(sizes.where(F.col("rows") <= JOIN_UP_TO), "bucket").drop("rows", "center"))
+    many = keep("many", members.join(sizes.where(F.col("rows") > JOIN_UP_TO), "bucket"))
+    within = few.alias("x").join(few.alias("y"), F.expr(f"x.bucket = y.bucket and x.node < y.node and {alike}"))
+    pairs = within.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).unionByName(
+        many.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b"))
+    )
+    sigs = keep("sigs", first_copies(members.select("node").distinct(), "sig"))
+    pairs = (
+        keep("pairs", pairs.distinct())
+        .join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+        .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+        .where(F.pandas_udf(_agreement, "int")("sig_a", "sig_b") >= least_agreement(percent))
+    )
+    pairs = keep("likely", pairs.select("a", "b"))
+
+    # One text of every set that is needed; the set is built anew from it.
+    large = keep("large", many.select("node").distinct())
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large).distinct()
+    wanted = keep("wanted", lows.join(nodes, "node", "left_semi"))
+    ids = wanted.select(F.col("low").alias("wanted_id")).distinct()
+    texts = maybe_in(text, ids, "doc_id").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    built = texts.mapInArrow(_sets(shingle), "node long, shingles array<long>, halves binary")
+    shingle_sets = keep("sets", built.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
-    def links_of(name: str, pairs: DataFrame, shingle_sets: DataFrame) -> DataFrame:
+    def confirmed(name: str, pairs: DataFrame) -> DataFrame:
         left = shingle_sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = shingle_sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
         shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -212,54 +281,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         )
         return keep(name, tested.where(F.col("shared") * 100 >= F.col("either") * percent).select("a", "b"))
 
-    # One text of every set in a bucket of several; the sets are built anew from it.
-    wanted = keep(
-        "wanted",
-        filled.select("node", "doc_id")
-        .join(members.select("node").distinct(), "node", "left_semi")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id")),
-    )
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-    texts = text.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    built = texts.mapInArrow(_sets(shingle), "node long, shingles array<long>, halves binary")
-    shingle_sets = keep("sets", built.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-
-    first = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = links_of("links", keep("pairs", first), shingle_sets)
+    links = confirmed("links", pairs)
     root = components(links, lambda name, df: keep(f"first_{name}", df))
-    labelled = keep(
-        "labelled",
-        members.join(root, "node", "left").select("node", "bucket", "n", F.coalesce("root", "node").alias("root")),
-    )
-    mixed = keep("mixed", _mixed(labelled, 3))
+    labelled = many.join(root, "node", "left").select("node", "bucket", "n", "rows", F.coalesce("root", "node").alias("root"))
+    labelled = keep("labelled", labelled)
+    spread = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = keep("mixed", spread.where("low <> high").select("bucket"))
     if not mixed.isEmpty():
-        few = keep("few", labelled.join(mixed.where(F.col("rows") <= JOIN_UP_TO).select("bucket"), "bucket"))
-        x, y = few.alias("x"), few.alias("y")
-        across = x.join(
-            y,
-            F.expr(
-                "x.bucket = y.bucket and x.root <> y.root and x.node < y.node"
-                f" and least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
-            ),
-        ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        many = keep("many", labelled.join(mixed.where(F.col("rows") > JOIN_UP_TO), "bucket"))
-        if not many.isEmpty():
-            nodes = keep("many_nodes", many.select("node").distinct())
-            prints_of = filled.join(nodes, "node", "left_semi").select("node", "sig", "bands").dropDuplicates(["node"])
-            sigs = keep("sigs", prints_of.join(shingle_sets.select("node", "halves"), "node"))
-            blocks = _blocks(many.join(sigs, "node")).groupBy("bucket", "low", "high")
-            across = across.unionByName(blocks.applyInPandas(_alike(percent), "a long, b long"))
-        more = links_of("more_links", keep("more_pairs", across.distinct().join(first, ["a", "b"], "left_anti")), shingle_sets)
+        open_rows = keep("open", labelled.join(mixed, "bucket"))
+        of_open = first_copies(open_rows.select("node").distinct(), "sig", "bands")
+        of_open = keep("of_open", of_open.join(shingle_sets.select("node", "halves"), "node"))
+        blocks = _blocks(open_rows.join(of_open, "node")).groupBy("bucket", "low", "high")
+        more = blocks.applyInPandas(_alike(percent), "a long, b long").distinct()
+        more = confirmed("more_links", keep("more_pairs", more))
         if not more.isEmpty():
             root = components(links.unionByName(more), lambda name, df: keep(f"second_{name}", df))
 
-    # The empty set is nobody's copy: such rows stay out of the groups.
-    lows = keep("lows", filled.groupBy("node").agg(F.min("doc_id").alias("low")))
     of_node = keep("of_node", lows.join(root, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")))
     of_root = keep("of_root", of_node.groupBy("root").agg(F.min("low").alias("component_id")))
     names = keep("names", of_node.join(of_root, "root").select("node", "component_id"))
     grouped = filled.select("doc_id", "n_shingles", "node").join(names, "node").drop("node")
+    # The empty set is nobody's copy.
     alone = prints.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
