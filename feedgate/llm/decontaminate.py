@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedgate.llm.words import words
+from feedgate.llm.words import Words, words
 from feedgate.plans.workspace import Workspace
 
 NGRAM = 3
@@ -71,14 +71,20 @@ def _plain_grams(n: int):
     return run
 
 
-def _frequencies(grams: np.ndarray, n: int):
+def _runs(chunk: Words, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of all the sizes: that of the n-grams, and those of items with fewer words."""
+    parts = [chunk.shingles(n) for n in sizes]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _frequencies(grams: np.ndarray, sizes: list[int]):
     """In how many documents each n-gram of the benchmark occurs, as partial counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(grams), np.int64)
         for batch in batches:
             for _, chunk in words(batch.column(0), punctuation=True):
-                hashes, doc, _ = chunk.shingles(n)
+                hashes, doc, _ = _runs(chunk, sizes)
                 at = _found(grams, hashes)
                 hit = np.flatnonzero(at >= 0)
                 once = np.unique(doc[hit] * len(grams) + at[hit]) % max(1, len(grams))
@@ -114,7 +120,7 @@ def _passages(places: np.ndarray, offsets: np.ndarray, length: int, words_left:
     return merged
 
 
-def _scan(seeds: dict, n: int, least: float):
+def _scan(seeds: dict, sizes: list[int], least: float):
     """Matches of one slice: ``seeds`` holds sorted gram, item index and offset arrays, and the items' words."""
     grams, items, offsets, ids, texts = (seeds[k] for k in ("gram", "item", "offset", "id", "words"))
 
@@ -142,7 +148,7 @@ def _scan(seeds: dict, n: int, least: float):
         for batch in batches:
             rows, out = [], []
             for at, chunk in words(batch.column(1), punctuation=True):
-                hashes, doc, first = chunk.shingles(n)
+                hashes, doc, first = _runs(chunk, sizes)
                 hit = np.flatnonzero(_found(grams, hashes) >= 0)
                 hit = hit[np.argsort(doc[hit], kind="stable")]
                 for one in np.split(hit, np.flatnonzero(np.diff(doc[hit])) + 1) if len(hit) else []:
@@ -191,9 +197,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, leas
 
 
 def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float, schema: str, turn: int) -> DataFrame:
+    rows = items.collect()
+    chunks = [c for _, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True)]
+    texts = [c.hashes[a:b] for c in chunks for a, b in zip(c.bounds[:-1], c.bounds[1:], strict=True)]
+    sizes = sorted({n} | {len(x) for x in texts if 0 < len(x) < n})
     grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n), "item_id long, gram long, place int"))
     known = np.unique(np.array([r.gram for r in grams.select("gram").distinct().collect()], np.int64).astype(np.uint64))
-    counted = text.select("text").mapInArrow(_frequencies(known, n), "gram long, documents long")
+    counted = text.select("text").mapInArrow(_frequencies(known, sizes), "gram long, documents long")
     counted = counted.groupBy("gram").agg(F.sum("documents").alias("documents"))
     ranked = grams.join(counted, "gram", "left").select(
         "item_id",
@@ -201,14 +211,11 @@ def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float,
         "place",
         F.expr(
             "row_number() over (partition by item_id order by coalesce(documents, 0), place)"
-            " <= ceil(count(*) over (partition by item_id) * %s)" % RAREST
+            f" <= ceil(count(*) over (partition by item_id) * {RAREST})"
         ).alias("rare"),
     )
-    seeds = ranked.where("rare").orderBy("gram", "item_id", "place").collect()
-    rows = items.collect()
+    seeds = ranked.where("rare").collect()
     index = {r.item_id: i for i, r in enumerate(rows)}
-    chunks = [(at, c) for at, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True)]
-    texts = [c.hashes[c.bounds[i] : c.bounds[i + 1]] for _, c in chunks for i in range(len(c))]
     unsigned = np.array([s.gram for s in seeds], np.int64).astype(np.uint64)
     order = np.argsort(unsigned, kind="stable")
     table = {
@@ -218,4 +225,4 @@ def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float,
         "id": [r.item_id for r in rows],
         "words": texts,
     }
-    return text.mapInArrow(_scan(table, n, least), schema)
+    return text.mapInArrow(_scan(table, sizes, least), schema)
