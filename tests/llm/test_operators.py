@@ -371,7 +371,7 @@ def test_chat_round_trip(spark):
     rows += [(50, t, "user" if t % 2 else "assistant", f"{t} " + "many words here " * 40) for t in range(40)]
     rows += [(51, 0, "assistant", "w " * 20_000), (51, None, "user", None), (None, 0, "user", "x"), (51, 0, "assistant", "w " * 20_000)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, window string")
-    windows = Workspace(spark, "test").keep("windows", chat.format_conversations(table, budget=300, history=80))
+    windows = Workspace(spark, "test").keep("windows", chat.format_conversations(table, budget=400, history=150))
     back = {r.conv_id: r for r in chat.read_back(windows).collect()}
     by_conv = collections.defaultdict(list)
     for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "")):
@@ -384,7 +384,7 @@ def test_chat_round_trip(spark):
         assert (r.n_turns, r.turns_sha256) == (len(said), hashlib.sha256(turns.encode()).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     long = windows.where("conv_id = 50").orderBy("window").collect()
-    assert len(long) > 5 and all(w.n_tokens <= 300 and not w.over_budget for w in long)
+    assert len(long) > 5 and all(w.n_tokens <= 400 and not w.over_budget for w in long)
     assert all(w.n_repeated >= 1 for w in long[1:]) and windows.where("over_budget").count() == 2
     for w in windows.where("conv_id < 9").collect():
         assert w.n_repeated == 0 or chat.turns(w.text)[0][0] == "system"
