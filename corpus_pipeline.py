@@ -18,8 +18,7 @@ SIMILAR_PERCENT = 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose most toxic passage is no more than chance."""
-    score = toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.where(score < TOXIC_FROM)
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TOXIC_FROM)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches
 from feedgate.llm.words import Words, words
 from feedgate.plans.workspace import Workspace
 
@@ -177,6 +178,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, leas
     ``score`` is the alignment's score over that of a perfect copy; ``end_word`` is where it ends.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     keep = Workspace(spark, "decontaminate").keep
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = text.schema["doc_id"].dataType.simpleString()

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches
 from feedgate.llm.components import components
 from feedgate.llm.words import mix, odd_constants, sets, words
 from feedgate.plans.workspace import Workspace
@@ -215,6 +216,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     Signatures decide which pairs are worth the full sets, and only for these texts are sets built again.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     keep = Workspace(spark, "near-dedup").keep
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = text.schema["doc_id"].dataType.simpleString()

@@ -24,11 +24,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches
 from feedgate.llm.words import Words, words
 
 FIT_ROWS = 40_000
@@ -300,25 +300,29 @@ def _score(handle):
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> Column:
-    """The score as a column over ``text``, for keeping or dropping whole rows of ``docs`` without a join."""
-    handle = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _below(handle, column: int, limit: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
-        for part in parts:
-            out = []
-            for _, chunk in words(pa.array(part, pa.large_string()), punctuation=True, stem=STEM_BYTES):
+        for batch in batches:
+            kept = []
+            for _, chunk in words(batch.column(column).cast(pa.large_string()), punctuation=True, stem=STEM_BYTES):
                 for own, n in zip(_best(model, chunk), chunk.counts.tolist(), strict=True):
-                    out.append(model.score(model.evidence(max((s for *_, s in own), default=0.0), n)))
-            yield pd.Series(out, dtype="float64")
+                    kept.append(model.score(model.evidence(max((s for *_, s in own), default=0.0), n)) < limit)
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return score(F.col("text").cast("string"))
+    return run
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float) -> DataFrame:
+    """The rows of ``docs`` that score below the limit, whole, in one pass and without a join."""
+    bounded_batches(docs.sparkSession)
+    handle = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    return docs.mapInArrow(_below(handle, docs.columns.index("text"), limit), docs.schema)
 
 
 def toxic_passages(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score, passages`` for every row: significant segments as word numbers, with score and chance."""
+    bounded_batches(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = text.schema["doc_id"].dataType.simpleString()
