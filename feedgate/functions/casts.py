@@ -23,8 +23,11 @@ def as_text(column: Column, dtype: T.DataType) -> Column:
 
 
 def safe_int(text: Column) -> Column:
-    """Whole numbers directly; decimal and exponent forms round half away from zero."""
-    rounded = F.round(text.try_cast(T.DecimalType(38, 10)))
+    """Whole numbers directly; decimal and exponent forms round half away from zero, once.
+
+    Ten whole digits hold every int, so all other digits can keep the fraction.
+    """
+    rounded = F.round(text.try_cast(T.DecimalType(38, 28)))
     return F.coalesce(text.try_cast("int"), rounded.try_cast("int"))
 
 
@@ -46,6 +49,8 @@ def contracted(column: Column, physical: T.DataType, target: T.DataType) -> Colu
     if isinstance(target, T.DateType) and isinstance(
         physical, (T.DateType, T.TimestampType, T.TimestampNTZType)
     ):
+        if isinstance(physical, T.TimestampType):  # the UTC day, whatever the session's zone
+            return F.date_from_unix_date(F.floor(F.unix_seconds(column) / 86400).cast("int"))
         return column.cast("date")
     if isinstance(target, T.IntegerType) and isinstance(physical, T.IntegerType):
         return column

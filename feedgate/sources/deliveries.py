@@ -27,7 +27,7 @@ class Delivery:
 
     @property
     def month(self) -> str:
-        found = re.search(DELIVERY_NAME, self.path)
+        found = re.search(DELIVERY_NAME, self.name)
         return "-".join(found.groups()) if found else "unknown"
 
     @property
@@ -50,8 +50,11 @@ def expected_deliveries(spark: SparkSession, deliveries: Sequence[Delivery]) ->
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
-    """Header line, every column text, doubled quotes inside quoted fields."""
-    return spark.read.csv(path, sep=sep, header=True, inferSchema=False, quote='"', escape='"')
+    """Header line, every column text, doubled quotes inside quoted fields.
+
+    A part file whose header differs from the first one fails the read instead of shifting its values.
+    """
+    return spark.read.csv(path, sep=sep, header=True, inferSchema=False, quote='"', escape='"', enforceSchema=False)
 
 
 def read_parquet_delivery(spark: SparkSession, path: str) -> DataFrame:

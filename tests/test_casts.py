@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from feedgate.functions.casts import as_text, contracted, safe_date, safe_int, safe_money
 
 INTEGERS = ["1", " 7 ", "+5", "-5", "1.5", "2.5", "-2.5", "2.0", "1e3", "0.5", "-0.4", "", " ", "abc",
-            "2147483647", "2147483648", "99999999999", "12x", "1,000", None]
+            "0.49999999999", "2.49999999999", "2147483647", "2147483648", "99999999999", "12x", "1,000", None]
 MONEY = ["12.345", "-0.005", "1,234.50", " 5.1 ", "1e3", "", "abc", "9999999999.99", "10000000000", "0", None]
 DATES = ["2025-01-05", "2025/01/05", "2025 01 05", "2025-1-5", "2025", "2025-01", "2025-02-30", "", "x",
          " 2025-01-05 ", "2025-01-05 10:30:00", "2025-01-05T10:30:00", "2025-01/05", "20250105",
