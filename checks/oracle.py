@@ -73,10 +73,10 @@ STEPS = {
                {_rate(f"NOT {_empty('dx_code')}")} AS dx_populated,
                {_rate(f"NOT {_empty('npi')}")} AS npi_populated,
                {_rate(f"NOT {_empty('member_token')}")} AS token_populated,
-               {_rate(f"NOT {_empty('claim_id')} AND NOT list_contains([claim_line IS NULL,"
-                      " date_of_service IS NULL, charge_amount IS NULL], true)")} AS required_populated,
+               {_rate(f"NOT {_empty('claim_id')} AND claim_line IS NOT NULL AND date_of_service IS NOT NULL"
+                      " AND charge_amount IS NOT NULL")} AS required_populated,
                {_rate("token_version = 'v2'")} AS token_v2_rate,
-               {_rate("regexp_full_match(gender, '[MFU]')")} AS gender_valid_rate,
+               {_rate("gender IN ('M', 'F', 'U')")} AS gender_valid_rate,
                {_rate("icd_version = '10' AND dx_code IS NOT NULL")} AS icd10_rate,
                {_rate("length(npi) = 10")} AS npi_len_rate,
                {_rate("length(member_zip) = 5")} AS zip_len_rate,
@@ -155,10 +155,10 @@ STEPS = {
                    if({_empty("member_token")}, 'MEMBER_TOKEN_MISSING', NULL),
                    if(_token_unresolved, 'TOKEN_UNRESOLVED', NULL),
                    if(coalesce(token_version, '') <> 'v2', 'TOKEN_VERSION_INVALID', NULL),
-                   if(NOT regexp_full_match(coalesce(gender, ''), '[MFU]'), 'GENDER_INVALID', NULL),
+                   if(coalesce(gender, '') NOT IN ('M', 'F', 'U'), 'GENDER_INVALID', NULL),
                    if(coalesce(units, 1) < 1, 'UNITS_INVALID', NULL),
-                   if(date_of_service - paid_date > 0, 'DATE_ORDER_INVALID', NULL),
-                   if(sign(charge_amount) = -1 AND (claim_freq_code <> '8' OR original_claim_id IS NULL),
+                   if(date_of_service > paid_date, 'DATE_ORDER_INVALID', NULL),
+                   if(charge_amount < 0 AND (claim_freq_code <> '8' OR original_claim_id IS NULL),
                       'NEGATIVE_CHARGE_INVALID', NULL)
                ], lambda code: code IS NOT NULL), '|') AS warnings
         FROM accepted""",
@@ -269,7 +269,10 @@ SELECTS = {
         FROM (SELECT delivery_month,
                      if(delivery_month IN ('2025-09', '2025-12'), '.csv', '.parquet') AS ending
               FROM calendar) c""",
-    "expected_deliveries": "SELECT delivery_month FROM calendar",
+    "expected_deliveries": """
+        SELECT delivery_month,
+               (SELECT count(*) FROM raw_claims r WHERE r._delivery_month = c.delivery_month) AS line_count
+        FROM calendar c""",
     "union_by_name": f"""
         SELECT * EXCLUDE (vendor_note), vendor_note FROM (
             SELECT {", ".join(C.columns)}, _delivery_month, _source_file, NULL AS vendor_note
@@ -334,7 +337,7 @@ SELECTS = {
     "catalog_table": """
         SELECT _delivery_month, count(*) AS line_count, count_if(is_current) AS current_lines,
                CAST(sum(charge_amount) AS double) AS charge
-        FROM silver WHERE _delivery_month >= '2025-07' GROUP BY ALL""",
+        FROM silver GROUP BY ALL""",
     "catalog_raw": """
         SELECT 'raw_claims_' || replace(delivery_month, '-', '_') AS table_name,
                (SELECT count(*) FROM raw_claims r WHERE r._delivery_month = c.delivery_month) AS line_count

@@ -146,7 +146,11 @@ def inventory(f: Feed) -> DataFrame:
 
 @query
 def expected_deliveries(f: Feed) -> DataFrame:
-    return source.expected_deliveries(_spark(f), f.deliveries)
+    """The calendar against what arrived."""
+    arrived = f.plan.staged.groupBy(F.col("_delivery_month").alias("delivery_month")).agg(F.count(F.lit(1)).alias("n"))
+    calendar = source.expected_deliveries(_spark(f), f.deliveries)
+    lines = F.coalesce("n", F.lit(0)).alias("line_count")
+    return calendar.join(arrived, "delivery_month", "left").select("delivery_month", lines)
 
 
 # Union and casts
@@ -379,7 +383,7 @@ def catalog_table(f: Feed) -> DataFrame:
     return _spark(f).sql(f"""
         SELECT _delivery_month, count(*) AS line_count, count_if(is_current) AS current_lines,
                cast(sum(charge_amount) AS double) AS charge
-        FROM {name} WHERE _delivery_month >= '2025-07' GROUP BY _delivery_month""")
+        FROM {name} GROUP BY _delivery_month""")
 
 
 @query

@@ -1,6 +1,8 @@
 """Entry point for spark-submit: inventory, full build, or the reload test.
 
     spark-submit feedgate/job.py run --deliveries <path> ... --tokens <path> --out <path>
+
+``--contract`` names a JSON file that sets fields of the contract; ``--expected`` lists the months that must arrive.
 """
 
 from __future__ import annotations
@@ -38,18 +40,28 @@ def _arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--tokens", help="token graph (Parquet)")
     parser.add_argument("--out", help="folder of the published tables")
     parser.add_argument("--database", help="catalog database to register the tables in")
-    parser.add_argument("--sample-factor", type=int, default=FeedContract().sample_factor)
+    parser.add_argument("--contract", help="JSON file with fields of the contract: thresholds, domains, block codes")
+    parser.add_argument("--sample-factor", type=int, help="overrides the contract")
+    parser.add_argument("--expected", nargs="+", metavar="YYYY-MM", help="the calendar; by default what is delivered")
+    parser.add_argument("--multiline", action="store_true", help="delimited deliveries hold quoted line breaks")
     arguments = parser.parse_args(argv)
     if arguments.command != "inventory" and not (arguments.tokens and arguments.out):
         parser.error("--tokens and --out are needed to build")
     return arguments
 
 
+def _contract(chosen: argparse.Namespace) -> FeedContract:
+    fields = json.loads(Path(chosen.contract).read_text()) if chosen.contract else {}
+    if chosen.sample_factor is not None:
+        fields["sample_factor"] = chosen.sample_factor
+    return FeedContract(**{name: tuple(v) if isinstance(v, list) else v for name, v in fields.items()})
+
+
 def main(argv: Sequence[str]) -> None:
     chosen = _arguments(argv)
     spark = SparkSession.builder.appName(f"feedgate-{chosen.command}").getOrCreate()
-    deliveries = manifest(chosen.deliveries)
-    contract = FeedContract(sample_factor=chosen.sample_factor)
+    deliveries = manifest(chosen.deliveries, chosen.multiline)
+    contract = _contract(chosen)
     if chosen.command == "inventory":
         rows = inventory_files(spark, open_feed(spark, deliveries)).orderBy("delivery_month").collect()
         print(json.dumps([r.asDict() for r in rows], indent=2))
@@ -57,7 +69,8 @@ def main(argv: Sequence[str]) -> None:
         first, second = reload_test(spark, deliveries, chosen.tokens, chosen.out, contract)
         print(json.dumps({"first": first.asDict(), "second": second.asDict()}, indent=2, default=str))
     else:
-        built = build(spark, deliveries, chosen.tokens, chosen.out, contract)
+        expected = chosen.expected and spark.createDataFrame([(m,) for m in chosen.expected], "delivery_month string")
+        built = build(spark, deliveries, chosen.tokens, chosen.out, contract, expected)
         if chosen.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{chosen.database}`")
             register(spark, built, chosen.database, deliveries, chosen.tokens)

@@ -15,15 +15,18 @@ from feedgate.functions.columns import physical_format, row_hash
 
 
 def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by name; absent columns become NULL and mixed types become text.
+    """Union by name, whatever its case; absent columns become NULL and mixed types become text.
 
+    A column keeps the spelling it has in the first frame that holds it.
     Columns are aligned before the union because Spark would otherwise coerce text to a number and
     fail on the first value that is not one.
     """
     types: dict[str, set[T.DataType]] = {}
+    spelling: dict[str, str] = {}
     for frame in frames:
         for field in frame.schema.fields:
-            types.setdefault(field.name, set()).add(field.dataType)
+            types.setdefault(field.name.lower(), set()).add(field.dataType)
+            spelling.setdefault(field.name.lower(), field.name)
     mixed = {
         name
         for name, seen in types.items()
@@ -31,10 +34,12 @@ def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
     }
 
     def aligned(frame: DataFrame) -> DataFrame:
-        as_sent = {f.name: f.dataType for f in frame.schema.fields}
-        return frame.withColumns(
-            {name: as_text(F.col(name), as_sent[name]) for name in mixed if name in as_sent}
-        )
+        def column(field: T.StructField):
+            name = field.name.lower()
+            sent = F.col("`" + field.name.replace("`", "``") + "`")
+            return (as_text(sent, field.dataType) if name in mixed else sent).alias(spelling[name])
+
+        return frame.select(*[column(f) for f in frame.schema.fields])
 
     return reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True),
@@ -44,9 +49,9 @@ def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
 
 def normalize(staged: DataFrame, contract: FeedContract) -> DataFrame:
     """The contracted columns with safe casts, plus lineage; other vendor columns are dropped."""
-    physical = {f.name: f.dataType for f in staged.schema.fields}
+    physical = {f.name.lower(): f.dataType for f in staged.schema.fields}
     typed = [
-        contracted(F.col(c), physical.get(c, T.StringType()), contract.type_of(c)).alias(c)
+        contracted(F.col(c), physical.get(c.lower(), T.StringType()), contract.type_of(c)).alias(c)
         for c in contract.columns
     ]
     return staged.select(

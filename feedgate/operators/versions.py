@@ -2,7 +2,7 @@
 
 All ranking happens on slim rows (line id, key, hash, delivery, replaced claim). What comes back to the
 full lines is only the list of exceptions: lines that are dropped or superseded. It is joined on the
-unique line id, so the wide join has no hot key, and it is broadcast while it is provably small.
+unique line id, so the wide join has no hot key; Spark broadcasts it while its files are small.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ LINE_ID = "_line_id"
 DROPPED = "dropped"
 SUPERSEDED = "superseded"
 
-# Exceptions up to this many rows are broadcast: a line id and a word each, about 100 MB in memory.
-BROADCAST_ROWS = 1_000_000
-
 # Copies numbered by one task of dedup_rank, and hash digits that split one key in version_rank.
 COPIES_PER_CHUNK = 10_000
 HASH_DIGITS = 3
@@ -161,20 +158,14 @@ def version_rank(earliest: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def silver_line(
-    lines: DataFrame,
-    excepted: DataFrame,
-    contract: FeedContract,
-    ingested_at: Column,
-    broadcast_exceptions: bool = False,
+    lines: DataFrame, excepted: DataFrame, contract: FeedContract, ingested_at: Column
 ) -> DataFrame:
     """Full rows of the latest versions, current unless superseded.
 
-    The caller sets ``broadcast_exceptions`` after counting them; otherwise both sides are shuffled on
-    the line id, which spreads evenly whatever the keys look like.
+    ``excepted`` is best read from a written table: Spark broadcasts it by its real size below its own
+    limit, and otherwise shuffles both sides on the line id, which spreads evenly whatever the keys are.
     """
     marks = excepted.select(LINE_ID, "_exception")
-    if broadcast_exceptions:
-        marks = F.broadcast(marks)
     is_superseded = F.coalesce(F.col("_exception") == SUPERSEDED, F.lit(False))
     kept = lines.join(marks, LINE_ID, "left").where(
         F.col("_exception").isNull() | (F.col("_exception") != DROPPED)

@@ -110,10 +110,7 @@ class FeedPlan:
 
     @cached_property
     def silver_lines(self) -> DataFrame:
-        few = self.exceptions.count() <= versions.BROADCAST_ROWS
-        return versions.silver_line(
-            self.eligible, self.exceptions, self.contract, self.ingested_at, broadcast_exceptions=few
-        )
+        return versions.silver_line(self.eligible, self.exceptions, self.contract, self.ingested_at)
 
     @cached_property
     def silver(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its own.
+    Only a session whose executors are threads of the driver falls back to a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="feedgate-")
 
@@ -24,9 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 class Workspace:
     """A folder of its own for one run; intermediate tables survive the loss of executors."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, root: str | None = None):
         self.spark = spark
-        self.root = f"{shared_folder(spark).rstrip('/')}/feedgate-{name}-{uuid.uuid4().hex}"
+        self.root = root or f"{shared_folder(spark).rstrip('/')}/feedgate-{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -35,3 +36,8 @@ class Workspace:
         """Write a table and continue from it: a columnar checkpoint with pruned reads."""
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def close(self) -> None:
+        """Delete the folder; tables kept in it must not be read any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 PARTITION = "_delivery_month"
 
@@ -25,3 +25,20 @@ def write_partitioned(df: DataFrame, path: str, partition: str = PARTITION) -> N
 def write_audit(df: DataFrame, path: str) -> None:
     """Replace a small unpartitioned table; audit tables hold one row per file or delivery."""
     df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished table in the place of the previous one, by renames inside one file system.
+
+    The previous table is kept next to the staged one until that folder is deleted, and comes back if the
+    second rename fails.
+    """
+    new, old, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{staged}-replaced"))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    had_table = files.exists(old)
+    if had_table and not files.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, old):
+        if had_table:
+            files.rename(aside, old)
+        raise OSError(f"cannot publish {path}")

@@ -14,12 +14,19 @@ from pyspark.sql import functions as F
 from feedgate.functions.columns import DELIVERY_NAME
 from feedgate.operators.staging import union_deliveries
 
+# What Spark says of part files whose types cannot be merged.
+MIXED_PARTS = "CANNOT_MERGE_SCHEMAS"
+
 
 @dataclass(frozen=True)
 class Delivery:
-    """One delivery: a file, or a directory of part files, named claims_YYYYMM.<format>."""
+    """One delivery: a file, or a directory of part files, named claims_YYYYMM.<format>.
+
+    Set ``multiline`` for a delimited one with line breaks inside quoted fields: its files are then not split.
+    """
 
     path: str
+    multiline: bool = False
 
     @property
     def name(self) -> str:
@@ -39,8 +46,14 @@ class Delivery:
         return "csv" if self.is_delimited else "parquet"
 
 
-def manifest(paths: Sequence[str]) -> list[Delivery]:
-    return [Delivery(p) for p in paths]
+def manifest(paths: Sequence[str], multiline: bool = False) -> list[Delivery]:
+    """The deliveries of a feed; two of one month are refused."""
+    found = [Delivery(p, multiline) for p in paths]
+    months = [d.month for d in found]
+    repeated = sorted({m for m in months if months.count(m) > 1})
+    if repeated:
+        raise ValueError(f"several deliveries of one month: {', '.join(repeated)}")
+    return found
 
 
 def expected_deliveries(spark: SparkSession, deliveries: Sequence[Delivery]) -> DataFrame:
@@ -49,22 +62,38 @@ def expected_deliveries(spark: SparkSession, deliveries: Sequence[Delivery]) ->
     return spark.createDataFrame([(m,) for m in months], "delivery_month string")
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, sep: str = "|", multiline: bool = False) -> DataFrame:
     """Header line, every column text, doubled quotes inside quoted fields.
 
-    A part file whose header differs from the first one fails the read instead of shifting its values.
+    Nothing is shifted, cut or padded: a part file whose header differs from the first one fails the read, and
+    so does a row with more or fewer fields than the header. Whole rows are parsed for that, whatever is selected.
     """
-    return spark.read.csv(path, sep=sep, header=True, inferSchema=False, quote='"', escape='"', enforceSchema=False)
+    reader = spark.read.option("columnPruning", "false")
+    return reader.csv(
+        path, sep=sep, header=True, inferSchema=False, quote='"', escape='"', enforceSchema=False, mode="FAILFAST",
+        multiLine=multiline,
+    )
 
 
 def read_parquet_delivery(spark: SparkSession, path: str) -> DataFrame:
-    """Whatever the vendor wrote; drift is kept for the inventory."""
-    return spark.read.parquet(path)
+    """Whatever the vendor wrote, with the columns of all part files.
+
+    Parts whose types differ are read one schema at a time and put together by name.
+    """
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if MIXED_PARTS not in str(error):
+            raise
+    parts: dict[str, list[str]] = {}
+    for part in spark.read.parquet(path).inputFiles():
+        parts.setdefault(spark.read.parquet(part).schema.json(), []).append(part)
+    return union_deliveries([spark.read.parquet(*same) for same in parts.values()])
 
 
 def read_physical(spark: SparkSession, delivery: Delivery) -> DataFrame:
     if delivery.is_delimited:
-        return read_delimited(spark, delivery.path)
+        return read_delimited(spark, delivery.path, multiline=delivery.multiline)
     return read_parquet_delivery(spark, delivery.path)
 
 
@@ -80,12 +109,14 @@ def read_delivery(spark: SparkSession, delivery: Delivery) -> DataFrame:
 
 
 def open_feed(spark: SparkSession, deliveries: Sequence[Delivery]) -> dict[Delivery, DataFrame | None]:
-    """The lazy frame of every delivery; None where no column can be read from it."""
+    """The lazy frame of every delivery; None where no column can be read from it. A refused access is raised."""
     frames: dict[Delivery, DataFrame | None] = {}
     for delivery in deliveries:
         try:
             frame = read_physical(spark, delivery)
-        except (PySparkException, Py4JJavaError):  # a broken footer surfaces as the latter
+        except (PySparkException, Py4JJavaError) as error:  # a broken footer surfaces as the latter
+            if "AccessControlException" in str(error):
+                raise
             frame = None
         frames[delivery] = with_lineage(frame, delivery) if frame is not None and frame.columns else None
     return frames

@@ -245,8 +245,44 @@ def test_order_and_partitioning_of_the_input_do_not_matter(spark, feed):
 def test_broadcast_and_shuffled_exceptions_agree(spark, feed):
     rows = [{"claim_id": f"C{i % 7}", "units": str(i % 3), "month": f"2025-0{1 + i % 4}"} for i in range(40)]
     plan = feed(*rows, blocking_reasons=())
-    both = [
-        versions.silver_line(plan.eligible, plan.exceptions, plan.contract, F.lit(None).cast("timestamp"), few)
-        for few in (True, False)
-    ]
-    assert reconcile.replay_differences(*both).isEmpty() and not both[0].isEmpty()
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    plans = [collected(plan.silver_lines.drop("_ingested_at"), "*")]
+    spark.conf.set(limit, "-1")
+    try:
+        plans.append(collected(plan.silver_lines.drop("_ingested_at"), "*"))
+    finally:
+        spark.conf.set(limit, before)
+    assert plans[0] == plans[1] and plans[0]
+
+
+def test_a_failed_check_leaves_the_previous_build(spark, deliveries, monkeypatch, tmp_path):
+    found, graph = deliveries
+    out = str(tmp_path / "out")
+    contract = fixture.contract(spark, SF_DIR)
+    build(spark, found, graph, out, contract)
+    files = sorted(p.relative_to(out).as_posix() for p in (tmp_path / "out").rglob("*"))
+
+    def fail(plan):
+        raise BuildCheckError("forced")
+
+    monkeypatch.setattr("feedgate.plans.build.check", fail)
+    with pytest.raises(BuildCheckError, match="forced"):
+        build(spark, found[:2], graph, out, contract)
+    assert sorted(p.relative_to(out).as_posix() for p in (tmp_path / "out").rglob("*")) == files
+    assert spark.read.parquet(f"{out}/silver_claim_line").count() == TOTALS[0]
+
+
+def test_job_takes_contract_and_calendar(deliveries, spark, capsys, tmp_path):
+    found, graph = deliveries
+    settings = tmp_path / "contract.json"
+    settings.write_text(json.dumps({"sample_factor": 8000, "blocking_reasons": ["EMPTY_DELIVERY", "WRONG_FORMAT"]}))
+    job.main([
+        "run", "--deliveries", found[0].path, found[8].path, "--tokens", graph, "--out", str(tmp_path / "out"),
+        "--contract", str(settings), "--expected", "2025-01", "2025-07", "2025-09",
+    ])
+    report = json.loads(capsys.readouterr().out)
+    decided = {r["_delivery_month"]: (r["decision"], r["reason_codes"].split("|")) for r in report["promotion_decisions"]}
+    assert decided["2025-01"][0] != "BLOCK"
+    assert decided["2025-07"] == ("BLOCK", ["EMPTY_DELIVERY"])
+    assert decided["2025-09"][0] == "BLOCK" and "WRONG_FORMAT" in decided["2025-09"][1]

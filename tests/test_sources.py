@@ -2,19 +2,24 @@
 
 import json
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from feedgate import FeedContract
 from feedgate.functions.columns import delivery_key, physical_format
+from feedgate.operators.staging import normalize, union_deliveries
 from feedgate.plans.workspace import Workspace
 from feedgate.sources import deliveries as source
 from feedgate.sources.inventory import inventory_files
 
 
 def test_delivery_key(spark):
-    paths = ["raw/claims/claims_202509.csv", "claims_202501.parquet", "x/claims_2025.csv", "other", None]
+    paths = ["in/201912/claims_203111.csv", "claims_202604.parquet", "x/claims_2025.csv", "other", None]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     keys = [r.k for r in df.select(delivery_key(F.col("p")).alias("k")).collect()]
-    assert keys[:4] == ["2025-09", "2025-01", "unknown", "unknown"]
+    assert keys[:4] == ["2031-11", "2026-04", "unknown", "unknown"]
     assert [source.Delivery(p).month for p in paths[:4]] == keys[:4]
 
 
@@ -86,6 +91,77 @@ def test_inventory_lists_empty_and_broken_files(spark, tmp_path):
     assert rows["2025-03"].columns_json is None and rows["2025-04"].columns_json is None
 
 
+def test_inventory_lists_absent_files(spark, tmp_path):
+    (tmp_path / "claims_202501.csv").write_text("claim_id\nA\n")
+    found = source.manifest([f"{tmp_path}/claims_202501.csv", f"{tmp_path}/claims_202502.csv"])
+    rows = {r.delivery_month: r for r in inventory_files(spark, source.open_feed(spark, found)).collect()}
+    assert (rows["2025-01"].row_count, rows["2025-01"].size_bytes) == (1, 11)
+    assert (rows["2025-02"].row_count, rows["2025-02"].size_bytes) == (None, None)
+
+
+def test_part_files_of_different_schemas_keep_all_columns(spark, tmp_path):
+    folder = f"{tmp_path}/claims_202501.parquet"
+    spark.sql("SELECT 'A' AS claim_id").write.parquet(folder)
+    spark.sql("SELECT 'B' AS claim_id, '007' AS npi").write.mode("append").parquet(folder)
+    df = source.read_feed(spark, source.manifest([folder]))
+    assert {r.claim_id: r.npi for r in df.collect()} == {"A": None, "B": "007"}
+    spark.sql("SELECT 'C' AS claim_id, 12 AS npi").write.mode("append").parquet(folder)
+    df = source.read_feed(spark, source.manifest([folder]))
+    assert {r.claim_id: r.npi for r in df.collect()} == {"A": None, "B": "007", "C": "12"}
+
+
+def test_union_ignores_the_case_of_headers(spark, tmp_path):
+    first = spark.sql("SELECT 'A' AS claim_id, 123 AS NPI")
+    second = spark.sql("SELECT 'B' AS Claim_ID, '0x12' AS npi")
+    df = union_deliveries([first, second])
+    assert df.columns == ["claim_id", "NPI"]
+    assert {r.claim_id: r.NPI for r in df.collect()} == {"A": "123", "B": "0x12"}
+    contract = FeedContract()
+    sent = [f"'1' AS {c}" if c != "npi" else "123 AS NPI" for c in contract.columns]
+    lines = spark.range(1).selectExpr(*sent, "'2025-01' AS _delivery_month", "'claims_202501.parquet' AS _source_file")
+    typed = normalize(lines, contract)
+    assert dict(typed.dtypes)["npi"] == "string" and typed.first().npi == "123"
+
+
+@pytest.mark.parametrize("row", ["1|2|3|EXTRA", "4|5"])
+def test_ragged_rows_are_refused(spark, tmp_path, row):
+    path = tmp_path / "claims_202501.csv"
+    path.write_text(f"a|b|c\n1|2|3\n{row}\n")
+    for chosen in (["a", "b", "c"], ["a"]):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            source.read_delimited(spark, str(path)).select(*chosen).collect()
+
+
+def test_parts_with_another_header_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "claims_202501.csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a|b\n1|2\n")
+    (folder / "2.csv").write_text("b|a\n2|1\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        source.read_delimited(spark, str(folder)).collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "claims_202501.csv"
+    path.write_text('a|b|c\n1|"x\ny"|3\n')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        source.read_delivery(spark, source.Delivery(str(path))).collect()
+    rows = source.read_delivery(spark, source.Delivery(str(path), multiline=True)).select("a", "b", "c").collect()
+    assert [tuple(r) for r in rows] == [("1", "x\ny", "3")]
+
+
+def test_two_deliveries_of_a_month_are_refused():
+    with pytest.raises(ValueError, match="2025-01"):
+        source.manifest(["a/claims_202501.csv", "b/claims_202501.parquet"])
+
+
+def test_closed_workspace_is_gone(spark, tmp_path):
+    work = Workspace(spark, "probe", f"{tmp_path}/work")
+    work.keep("numbers", spark.range(3))
+    work.close()
+    assert not (tmp_path / "work").exists()
+
+
 def test_workspace_reads_the_shared_folder_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     work = Workspace(spark, "probe")
