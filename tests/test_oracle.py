@@ -1,4 +1,4 @@
-"""Every registered query returns what DuckDB returns on the same tables."""
+"""Every registered query over the deliveries returns what DuckDB returns on the same tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from checks.oracle import oracle_sql
+from checks.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def engine():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLES.keys() <= driver.oracle_sql().keys()
 
 
 def _plain(value):
