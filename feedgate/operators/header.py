@@ -13,7 +13,8 @@ def claim_header(silver: DataFrame) -> DataFrame:
     """One row per claim with at least one current line.
 
     The person id is the lowest of the claim and the reasons are sorted, so the result does not
-    depend on row order. The set of reasons of a claim is bounded by the number of warning codes.
+    depend on row order. The set holds joined codes, so it is bounded by the number of
+    combinations of warning codes.
     """
     reasons = F.array_join(
         F.array_sort(F.collect_set(F.when(F.col("_dq_reasons") != "", F.col("_dq_reasons")))), "|"
