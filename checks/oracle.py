@@ -319,11 +319,24 @@ SELECTS = {
     "claim_header": "SELECT * FROM header",
     "reconciliation": "SELECT * FROM reconciled",
     "reconciliation_failures": """
-        SELECT * FROM reconciled WHERE decision <> 'BLOCK'
-        AND raw_rows - silver_eligible_rows - quarantine_rows - deduplicated_rows <> 0""",
+        SELECT *, 'built' AS checked FROM reconciled WHERE decision <> 'BLOCK'
+        AND raw_rows - silver_eligible_rows - quarantine_rows - deduplicated_rows <> 0
+        UNION ALL BY NAME
+        SELECT * REPLACE (raw_rows + 1 AS raw_rows), 'seeded' AS checked FROM reconciled
+        WHERE decision <> 'BLOCK' AND deduplicated_rows > 0""",
     "grain_delivered": f"SELECT {KEY}, count(*) AS rows_at_grain FROM lines GROUP BY ALL HAVING count(*) > 1",
-    "grain_line": f"SELECT {KEY}, count(*) AS rows_at_grain FROM silver GROUP BY ALL HAVING count(*) > 1",
-    "grain_header": "SELECT claim_id, count(*) AS rows_at_grain FROM header GROUP BY ALL HAVING count(*) > 1",
+    "grain_line": f"""
+        SELECT {KEY}, count(*) AS rows_at_grain, 'built' AS checked FROM silver GROUP BY ALL HAVING count(*) > 1
+        UNION ALL
+        SELECT {KEY}, count(*), 'seeded' FROM (
+            SELECT {KEY} FROM silver UNION ALL SELECT {KEY} FROM silver WHERE claim_freq_code = '7')
+        GROUP BY ALL HAVING count(*) > 1""",
+    "grain_header": """
+        SELECT claim_id, count(*) AS rows_at_grain, 'built' AS checked FROM header GROUP BY ALL HAVING count(*) > 1
+        UNION ALL
+        SELECT claim_id, count(*), 'seeded' FROM (
+            SELECT claim_id FROM header UNION ALL SELECT claim_id FROM header WHERE _dq_status = 'WARN')
+        GROUP BY ALL HAVING count(*) > 1""",
     "decision_report": """
         SELECT _delivery_month, total_rows, decision, reason_codes, dx_populated, npi_populated,
                token_resolution_rate
@@ -338,6 +351,12 @@ SELECTS = {
         SELECT _delivery_month, count(*) AS line_count, count_if(is_current) AS current_lines,
                CAST(sum(charge_amount) AS double) AS charge
         FROM silver GROUP BY ALL""",
+    "catalog_audit": """
+        SELECT 'inventory' AS table_name, delivery_month,
+               if(delivery_month IN ('2025-09', '2025-12'), 'csv', 'parquet') AS detail FROM calendar
+        UNION ALL SELECT 'validation_results', _delivery_month, clause_2_3 FROM results
+        UNION ALL SELECT 'promotion_decisions', _delivery_month, reason_codes FROM decisions
+        UNION ALL SELECT 'reconciliation', _delivery_month, decision FROM reconciled""",
     "catalog_raw": """
         SELECT 'raw_claims_' || replace(delivery_month, '-', '_') AS table_name,
                (SELECT count(*) FROM raw_claims r WHERE r._delivery_month = c.delivery_month) AS line_count

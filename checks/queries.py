@@ -282,7 +282,9 @@ def replays(f: Feed) -> DataFrame:
 
 @query
 def version_rank(f: Feed) -> DataFrame:
-    return versions.version_rank(f.plan.earliest, f.plan.contract).drop("_line_id", "_replaces")
+    """Over a written table, as the ranking reads its input twice."""
+    earliest = f.work.keep("earliest", f.plan.earliest)
+    return versions.version_rank(earliest, f.plan.contract).drop("_line_id", "_replaces")
 
 
 @query
@@ -308,9 +310,18 @@ def reconciliation(f: Feed) -> DataFrame:
     return f.plan.reconciliation
 
 
+def _seeded(checked: Callable[[DataFrame], DataFrame], table: DataFrame, broken: DataFrame) -> DataFrame:
+    """What a check finds in the table as built, and in one with violations put in."""
+    found = checked(broken).withColumn("checked", F.lit("seeded"))
+    return checked(table).withColumn("checked", F.lit("built")).unionByName(found)
+
+
 @query
 def reconciliation_failures(f: Feed) -> DataFrame:
-    return reconcile.reconciliation_failures(f.plan.reconciliation)
+    """Seeded: one more delivered row wherever copies were dropped."""
+    counted = f.plan.reconciliation
+    lost = F.when(F.col("deduplicated_rows") > 0, 1).otherwise(0)
+    return _seeded(reconcile.reconciliation_failures, counted, counted.withColumn("raw_rows", F.col("raw_rows") + lost))
 
 
 @query
@@ -320,12 +331,18 @@ def grain_delivered(f: Feed) -> DataFrame:
 
 @query
 def grain_line(f: Feed) -> DataFrame:
-    return reconcile.grain_violations(f.plan.silver, KEYS)
+    """Seeded: replacement lines twice."""
+    lines = f.plan.silver.select(*KEYS, "claim_freq_code")
+    twice = lines.unionByName(lines.where("claim_freq_code = '7'"))
+    return _seeded(lambda df: reconcile.grain_violations(df, KEYS), lines, twice)
 
 
 @query
 def grain_header(f: Feed) -> DataFrame:
-    return reconcile.grain_violations(f.plan.headers, ["claim_id"])
+    """Seeded: headers with warnings twice."""
+    headers = f.plan.headers.select("claim_id", "_dq_status")
+    twice = headers.unionByName(headers.where("_dq_status = 'WARN'"))
+    return _seeded(lambda df: reconcile.grain_violations(df, ["claim_id"]), headers, twice)
 
 
 @query
@@ -386,6 +403,25 @@ def catalog_table(f: Feed) -> DataFrame:
         FROM {name} GROUP BY _delivery_month""")
 
 
+@query
+def catalog_audit(f: Feed) -> DataFrame:
+    """The four audit tables as the catalog reads them, the reasons from their array column."""
+    details = {
+        "inventory": (inventory_files(_spark(f), source.open_feed(_spark(f), f.deliveries)), "file_format"),
+        "validation_results": (f.plan.results, "clause_2_3"),
+        "promotion_decisions": (f.plan.decisions, "array_join(all_reasons, '|')"),
+        "reconciliation": (f.plan.reconciliation, "decision"),
+    }
+    found = []
+    for table, (rows, detail) in details.items():
+        name, path = f"{_database(f)}.{table}", f.work.path(f"catalog_{table}")
+        tables.write_audit(rows, path)
+        catalog.register_audit(_spark(f), name, path, rows)
+        month = "delivery_month" if table == "inventory" else "_delivery_month"
+        found.append(_spark(f).sql(f"SELECT '{table}' AS table_name, {month} AS delivery_month, {detail} AS detail FROM {name}"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def catalog_raw(f: Feed) -> DataFrame:
     names = catalog.register_raw(_spark(f), _database(f), f.deliveries, f.graph)

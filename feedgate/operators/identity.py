@@ -51,7 +51,10 @@ def identify(lines: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def accepted(lines: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Lines of the deliveries that were not blocked; the decisions hold one row per delivery."""
+    """Lines of the deliveries that were not blocked; the decisions hold one row per delivery.
+
+    Over a table partitioned by delivery, Spark turns the broadcast side into a partition filter.
+    """
     loaded = decisions.where(F.col("decision") != "BLOCK").select("_delivery_month")
     return lines.join(F.broadcast(loaded), "_delivery_month", "left_semi")
 

@@ -121,11 +121,16 @@ def global_key_dupes(lines: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def same_delivery_conflicts(lines: DataFrame, contract: FeedContract) -> DataFrame:
-    """Keys that carry different content inside one delivery; incomplete keys count as keys here."""
+    """Keys that carry different content inside one delivery; incomplete keys count as keys here.
+
+    The halves of the hash are compared as numbers, as a string maximum would sort all lines.
+    """
     key = [*contract.line_key, "_delivery_month"]
+    first, second = (F.conv(F.substring("_row_hash", at, 16), 16, -10).cast("bigint") for at in (1, 17))
     return (
-        lines.groupBy(*key)
-        .agg(F.min("_row_hash").alias("_low"), F.max("_row_hash").alias("_high"))
-        .where(F.col("_low") != F.col("_high"))
+        lines.select(*key, first.alias("_first"), second.alias("_second"))
+        .groupBy(*key)
+        .agg(*[f(c).alias(f"{c}_{f.__name__}") for c in ("_first", "_second") for f in (F.min, F.max)])
+        .where("_first_min <> _first_max or _second_min <> _second_max")
         .select(*key)
     )

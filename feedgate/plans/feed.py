@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from feedgate.contract import FeedContract
 from feedgate.operators import disposition, gate, header, identity, measures, reconcile, staging, versions
 
-Keep = Callable[[str, DataFrame], DataFrame]
+Keep = Callable[..., DataFrame]
 
 
 class FeedPlan:
@@ -44,9 +44,13 @@ class FeedPlan:
 
     @cached_property
     def identified(self) -> DataFrame:
-        """Typed lines with hash, person id and token flags: the one wide table all stages read."""
-        lines = identity.identify(self.normalized, self.tokens)
-        return self._keep("identified", versions.with_line_id(lines))
+        """Typed lines with hash, person id and token flags: the one wide table all stages read.
+
+        Partitioned by delivery, so that later stages never open the files of a blocked one. It is not
+        rebalanced for that: a task reads lines of one delivery unless the token join shuffled them.
+        """
+        lines = versions.with_line_id(identity.identify(self.normalized, self.tokens))
+        return self._keep("identified", lines, partition="_delivery_month")
 
     @cached_property
     def conflicts(self) -> DataFrame:

@@ -32,10 +32,10 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         """Write a table and continue from it: a columnar checkpoint with pruned reads."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name), partitionBy=partition)
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(df.columns)
 
     def close(self) -> None:
         """Delete the folder; tables kept in it must not be read any more."""

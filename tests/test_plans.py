@@ -134,7 +134,17 @@ def test_conflicts_read_only_key_and_hash(feed):
     plan = feed({})
     text = explained(measures.same_delivery_conflicts(plan.identified, plan.contract))
     assert exchanges(text) == 1
-    assert text[text.index("ReadSchema"):].split("\n")[0].count(":string") == 3
+    assert text[text.index("ReadSchema"):].split("\n")[0].count(":string") == 2
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+@pytest.mark.parametrize("stage", ["accepted", "held", "slim", "silver_lines"])
+def test_blocked_deliveries_are_not_opened(feed, stage):
+    plan = feed({}, {"claim_id": "B", "month": "2025-02"}, {"claim_id": "B", "month": "2025-02", "units": "2"})
+    df = getattr(plan, stage)
+    scan = explained(df)
+    assert "PartitionFilters" in scan and "dynamicpruning" in scan[scan.index("PartitionFilters"):].split("\n")[0]
+    assert {r._delivery_month for r in df.select("_delivery_month").collect()} == {"2025-01"}
 
 
 def test_silver_needs_no_shuffle_when_exceptions_are_few(feed):
