@@ -259,6 +259,10 @@ SELECTS = {
     "scan_parquet": f"""
         SELECT {", ".join(C.columns)}, _source_file FROM raw_claims
         WHERE NOT suffix(_source_file, '.csv')""",
+    "drifting_parts": f"""
+        SELECT * REPLACE (if(claim_type = 'PROF' OR gender = 'M' OR suffix(_source_file, '.csv'), npi, NULL) AS npi),
+               if(suffix(_source_file, '.csv'), 'line' || chr(10) || claim_line, NULL) AS vendor_note
+        FROM (SELECT {", ".join(C.columns)}, _source_file FROM raw_claims)""",
     "scan_tokens": "SELECT member_token, vi_pid FROM graph",
     "inventory": f"""
         SELECT 'claims_' || replace(delivery_month, '-', '') || ending AS s3_key, delivery_month,

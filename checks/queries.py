@@ -132,6 +132,32 @@ def scan_parquet(f: Feed) -> DataFrame:
     return _scan(f, delimited=False)
 
 
+@query
+def drifting_parts(f: Feed) -> DataFrame:
+    """Every delivery written anew: Parquet parts that differ in columns, types and case; text with line breaks.
+
+    One kind of Parquet part holds the code as a number under an upper-case name, one as text, one not at all.
+    Delimited deliveries have their columns reversed, in upper case, and a quoted line break in a note.
+    """
+    drifted = []
+    for d in f.deliveries:
+        sent = source.Delivery(f"{f.work.path('drift')}/{d.name}", multiline=d.is_delimited)
+        lines = f.plan.staged.where(F.col("_delivery_month") == d.month).select(*f.plan.contract.columns)
+        if d.is_delimited:
+            noted = lines.withColumn("vendor_note", F.concat_ws("\n", F.lit("line"), "claim_line"))
+            upper = noted.select(*[F.col(c).alias(c.upper()) for c in reversed(noted.columns)])
+            upper.write.mode("overwrite").csv(sent.path, sep="|", header=True, escape='"')
+        else:
+            numbered = lines.where("claim_type = 'PROF'").withColumn("npi", F.col("npi").cast("int"))
+            numbered.withColumnRenamed("npi", "NPI").write.mode("overwrite").parquet(sent.path)
+            rest = lines.where("claim_type <> 'PROF'")
+            rest.where("gender = 'M'").write.mode("append").parquet(sent.path)
+            rest.where("gender <> 'M'").drop("npi").write.mode("append").parquet(sent.path)
+        drifted.append(sent)
+    read = source.read_feed(_spark(f), drifted)
+    return read.select(*[F.col(c).alias(c) for c in (*f.plan.contract.columns, "vendor_note")], "_source_file")
+
+
 @query
 def scan_tokens(f: Feed) -> DataFrame:
     return source.read_dimension(_spark(f), f.graph)
