@@ -352,9 +352,16 @@ SELECTS = {
     "sink_roundtrip": SILVER,
     "audit_roundtrip": f"SELECT {MEASURES}, {BAND} FROM results",
     "catalog_table": """
-        SELECT _delivery_month, count(*) AS line_count, count_if(is_current) AS current_lines,
-               CAST(sum(charge_amount) AS double) AS charge
-        FROM silver GROUP BY ALL""",
+        SELECT 'silver_claim_line' AS table_name, _delivery_month, count(*) AS row_count,
+               count_if(is_current) AS current_rows, CAST(sum(charge_amount) AS double) AS charge
+        FROM silver GROUP BY ALL
+        UNION ALL
+        SELECT 'silver_claim_line_quarantine', _delivery_month, count(*), count_if(false),
+               CAST(sum(charge_amount) AS double)
+        FROM disposed WHERE held GROUP BY ALL
+        UNION ALL
+        SELECT 'silver_claim_header', _delivery_month, count(*), count(*), CAST(sum(charge) AS double)
+        FROM header_sums GROUP BY ALL""",
     "catalog_audit": """
         SELECT 'inventory' AS table_name, delivery_month,
                if(delivery_month IN ('2025-09', '2025-12'), 'csv', 'parquet') AS detail FROM calendar

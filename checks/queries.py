@@ -420,13 +420,22 @@ def _database(f: Feed) -> str:
 
 @query
 def catalog_table(f: Feed) -> DataFrame:
-    name, path = f"{_database(f)}.silver_claim_line", f.work.path("catalog_table")
-    tables.write_partitioned(f.plan.silver, path)
-    catalog.register_table(_spark(f), name, path, f.plan.silver)
-    return _spark(f).sql(f"""
-        SELECT _delivery_month, count(*) AS line_count, count_if(is_current) AS current_lines,
-               cast(sum(charge_amount) AS double) AS charge
-        FROM {name} GROUP BY _delivery_month""")
+    """All partitions of the three published tables, as the catalog discovers them."""
+    published_tables = {
+        "silver_claim_line": (f.plan.silver, "is_current", "charge_amount"),
+        "silver_claim_line_quarantine": (f.plan.quarantine, "is_current", "charge_amount"),
+        "silver_claim_header": (f.plan.headers, "all_lines_current", "total_charge_amount"),
+    }
+    found = []
+    for table, (rows, current, amount) in published_tables.items():
+        name, path = f"{_database(f)}.{table}", f.work.path(f"catalog_{table}")
+        tables.write_partitioned(rows, path)
+        catalog.register_table(_spark(f), name, path, rows)
+        found.append(_spark(f).sql(f"""
+            SELECT '{table}' AS table_name, _delivery_month, count(*) AS row_count,
+                   count_if({current}) AS current_rows, cast(sum({amount}) AS double) AS charge
+            FROM {name} GROUP BY _delivery_month"""))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
