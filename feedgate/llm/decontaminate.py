@@ -1,10 +1,12 @@
 """Operator 7: benchmark decontamination with rare n-gram seeds and Smith-Waterman alignment.
 
-The corpus frequency of every word n-gram of the benchmark is counted over all documents. Each item keeps its
-rarest n-grams as seeds, by rank within the item, so an item that leaked often still has seeds. Documents are
-then scanned again; where seeds of an item fall close together, the passage around them is aligned with the
-item word by word, and the best local alignment is scored against a perfect copy. Both scans stay in the
-partitions of the documents: no text is shuffled.
+The corpus frequency of every word n-gram of the benchmark is counted over all documents. A copy that still
+reaches the least score has lost a limited number of the item's n-grams, whatever the edits: with two words, some
+are always left. Half of those sure to be left may be spared, so each item's most common n-grams are no seeds, and
+the rest are. Documents are then scanned again; where as many seeds of an item as any copy must hold fall close
+together, the passage around them is aligned with the item word by word, and the best local alignment is scored
+against a perfect copy. So every passage that reaches the least score is aligned. Both scans stay in the partitions
+of the documents: no text is shuffled.
 
 Words are runs of letters, digits and non-ASCII characters, lower case in A-Z. Defined results: null and empty
 texts and items match nothing. An item shorter than the n-gram is its own single seed and needs a perfect
@@ -16,6 +18,7 @@ The benchmark is handed to the tasks in slices of bounded size, one scan for eac
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +30,29 @@ from feedgate.llm.batches import bounded_batches
 from feedgate.llm.words import Words, words
 from feedgate.plans.workspace import Workspace
 
-NGRAM = 3
-RAREST = 0.6
+# Of longer n-grams, copies with a word put in at every other place hold none.
+NGRAM = 2
 LEAST_SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Items of fewer words need a perfect copy: a few words recur by chance.
 SHORT_ITEM = 8
 SLICE_BYTES = 16 << 20
+# Seed hits of a chunk are matched with items by so many at a time, or one document.
+HITS = 1 << 20
+
+
+def losses(length: int, least: float) -> int:
+    """Points that a copy of an item of ``length`` words may lose and still be reported."""
+    return 0 if length < SHORT_ITEM else math.floor(MATCH * length * (1 - least) + 1e-9)
+
+
+def surely_left(length: int, n: int, least: float) -> int:
+    """How many n-grams of the item every such copy still holds; for n above 2 one is assumed where none is sure.
+
+    A word changed or left out breaks n of them, a word put in n - 1, a word cut off at an end one.
+    """
+    each = max(n / (MATCH - MISMATCH), n / (MATCH - GAP), (n - 1) / -GAP, 1 / MATCH)
+    return max(1, length - n + 1 - math.floor(losses(length, least) * each))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -53,20 +72,22 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _plain_grams(n: int):
-    """Every n-gram of an item: its id, hash and place, with the item's words."""
+def _plain_grams(n: int, least: float):
+    """Every n-gram of an item: its id, hash and place, and how many of the item's may be spared as seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, chunk in words(batch.column(1), punctuation=True):
                 hashes, doc, first = chunk.shingles(n)
+                spared = np.array([surely_left(x, n, least) // 2 for x in chunk.counts.tolist()], np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(doc + at)),
                         pa.array(hashes.astype(np.int64)),
                         pa.array((first - chunk.bounds[doc]).astype(np.int32)),
+                        pa.array(spared[doc]),
                     ],
-                    ["item_id", "gram", "place"],
+                    ["item_id", "gram", "place", "spared"],
                 )
 
     return run
@@ -106,44 +127,52 @@ def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == values, at, -1)
 
 
-def _passages(places: np.ndarray, offsets: np.ndarray, length: int, words_left: int) -> list[tuple[int, int]]:
-    """Where copies of an item of ``length`` words could lie, given seeds and their offsets in the item."""
-    slack = length // 2 + 2
-    starts = np.maximum(places - offsets - slack, 0)
-    ends = np.minimum(places - offsets + length + slack, words_left)
-    order = np.argsort(starts, kind="stable")
+def _passages(first: np.ndarray, last: np.ndarray, reach: int, words_left: int) -> list[tuple[int, int]]:
+    """Where copies of up to ``reach`` words could lie that hold seeds from ``first`` to ``last``, in rising order."""
     merged: list[tuple[int, int]] = []
-    for i in order:
-        if merged and starts[i] <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(merged[-1][1], int(ends[i])))
+    for start, end in zip(np.maximum(last + 1 - reach, 0), np.minimum(first + reach, words_left), strict=True):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], int(end)))
         else:
-            merged.append((int(starts[i]), int(ends[i])))
+            merged.append((int(start), int(end)))
     return merged
 
 
-def _scan(seeds: dict, sizes: list[int], least: float):
-    """Matches of one slice: ``seeds`` holds sorted gram, item index and offset arrays, and the items' words."""
-    grams, items, offsets, ids, texts = (seeds[k] for k in ("gram", "item", "offset", "id", "words"))
+def _scan(seeds: dict, sizes: list[int], n: int, least: float):
+    """Matches of one slice: ``seeds`` holds sorted gram and item index arrays, and the items' ids and words."""
+    grams, items, ids, texts = (seeds[k] for k in ("gram", "item", "id", "words"))
+    lengths = [len(x) for x in texts]
+    reach = np.array([x + losses(x, least) for x in lengths], np.int64)
+    left = [surely_left(x, n, least) for x in lengths]
+    need = np.array([x - x // 2 for x in left], np.int64)
 
-    def matches(chunk, doc: int, places: np.ndarray, hits: np.ndarray) -> Iterator[tuple]:
-        low, high = np.searchsorted(grams, hits, "left"), np.searchsorted(grams, hits, "right")
-        size = high - low
+    def matches(chunk, doc: np.ndarray, place: np.ndarray, low: np.ndarray, size: np.ndarray) -> Iterator[tuple]:
+        """Matches of some documents, given the places of seeds and their range in the table of seeds."""
         which = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        place, item, offset = np.repeat(places, size), items[which], offsets[which]
-        begin, end = chunk.bounds[doc], chunk.bounds[doc + 1]
-        own = chunk.hashes[begin:end]
-        for one in np.unique(item):
-            mine = item == one
-            length = len(texts[one])
-            short = length < SHORT_ITEM
-            if not short and len(np.unique(offset[mine])) < 2:
-                continue
-            best = (0.0, 0, 0)
-            for a, b in _passages(place[mine], offset[mine], length, len(own)):
-                score, last = align(texts[one], own[a:b])
-                best = max(best, (score / (MATCH * length), a + last, int(mine.sum())))
-            if best[0] >= (1.0 if short else least):
-                yield ids[one], best[0], best[1], best[2]
+        width = int(place.max()) + 1
+        at, times = np.unique(
+            (np.repeat(doc, size) * len(texts) + items[which]) * width + np.repeat(place, size), return_counts=True
+        )
+        pair, place = at // width, at % width
+        item = pair % len(texts)
+        # Where enough seeds for a copy begin, and where the last of them is.
+        end = np.arange(len(at)) + need[item] - 1
+        inside = np.minimum(end, len(at) - 1)
+        near = (end < len(at)) & (pair[inside] == pair) & (place[inside] - place < reach[item])
+        for one in np.split(np.flatnonzero(near), np.flatnonzero(np.diff(pair[near])) + 1) if near.any() else []:
+            d, i = divmod(int(pair[one[0]]), len(texts))
+            own = chunk.hashes[chunk.bounds[d] : chunk.bounds[d + 1]]
+            asked = 1.0 if lengths[i] < SHORT_ITEM else least
+            best = (0.0, 0)
+            for a, b in _passages(place[one], place[inside[one]], int(reach[i]), len(own)):
+                # Words in common bound the score from above.
+                if np.isin(texts[i], own[a:b]).sum() < asked * lengths[i] - 1e-9:
+                    continue
+                score, last = align(texts[i], own[a:b])
+                best = max(best, (score / (MATCH * lengths[i]), a + last))
+            if best[0] >= asked:
+                group = slice(*np.searchsorted(pair, [pair[one[0]], pair[one[0]] + 1]))
+                yield d, ids[i], best[0], best[1], int(times[group].sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,11 +181,21 @@ def _scan(seeds: dict, sizes: list[int], least: float):
                 hashes, doc, first = _runs(chunk, sizes)
                 hit = np.flatnonzero(_found(grams, hashes) >= 0)
                 hit = hit[np.argsort(doc[hit], kind="stable")]
-                for one in np.split(hit, np.flatnonzero(np.diff(doc[hit])) + 1) if len(hit) else []:
-                    d = int(doc[one[0]])
-                    for found in matches(chunk, d, first[one] - chunk.bounds[d], hashes[one]):
+                low = np.searchsorted(grams, hashes[hit], "left")
+                size = np.searchsorted(grams, hashes[hit], "right") - low
+                done = np.cumsum(size)
+                begin = 0
+                while begin < len(hit):
+                    # Whole documents, as many as stay below HITS, but one at least.
+                    end = int(np.searchsorted(done, done[begin] - size[begin] + HITS, "right"))
+                    borders = np.searchsorted(doc[hit], [doc[hit[min(end, len(hit) - 1)]], doc[hit[begin]] + 1])
+                    end = len(hit) if end == len(hit) else int(max(borders))
+                    part = hit[begin:end]
+                    own = first[part] - chunk.bounds[doc[part]]
+                    for d, *found in matches(chunk, doc[part], own, low[begin:end], size[begin:end]):
                         rows.append(at + d)
                         out.append(found)
+                    begin = end
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -203,28 +242,24 @@ def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float,
     chunks = [c for _, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True)]
     texts = [c.hashes[a:b] for c in chunks for a, b in zip(c.bounds[:-1], c.bounds[1:], strict=True)]
     sizes = sorted({n} | {len(x) for x in texts if 0 < len(x) < n})
-    grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n), "item_id long, gram long, place int"))
+    grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n, least), "item_id long, gram long, place int, spared int"))
     known = np.unique(np.array([r.gram for r in grams.select("gram").distinct().collect()], np.int64).astype(np.uint64))
     counted = text.select("text").mapInArrow(_frequencies(known, sizes), "gram long, documents long")
     counted = counted.groupBy("gram").agg(F.sum("documents").alias("documents"))
-    ranked = grams.join(counted, "gram", "left").select(
+    # N-grams no document holds are not in ``counted``: they seed nothing.
+    ranked = grams.join(counted, "gram").select(
         "item_id",
         "gram",
-        "place",
-        F.expr(
-            "row_number() over (partition by item_id order by coalesce(documents, 0), place)"
-            f" <= ceil(count(*) over (partition by item_id) * {RAREST})"
-        ).alias("rare"),
+        F.expr("row_number() over (partition by item_id order by documents desc, place desc) <= spared").alias("common"),
     )
-    seeds = ranked.where("rare").collect()
+    seeds = ranked.where("not common").collect()
     index = {r.item_id: i for i, r in enumerate(rows)}
     unsigned = np.array([s.gram for s in seeds], np.int64).astype(np.uint64)
     order = np.argsort(unsigned, kind="stable")
     table = {
         "gram": unsigned[order],
         "item": np.array([index[s.item_id] for s in seeds], np.int64)[order],
-        "offset": np.array([s.place for s in seeds], np.int64)[order],
         "id": [r.item_id for r in rows],
         "words": texts,
     }
-    return text.mapInArrow(_scan(table, sizes, least), schema)
+    return text.mapInArrow(_scan(table, sizes, n, least), schema)

@@ -344,6 +344,44 @@ def test_decontamination_finds_copies_and_edits(spark):
     assert decontaminate.contaminated(documents(spark, rows).limit(0), table).count() == 0
 
 
+def test_decontamination_finds_every_edit_up_to_the_least_score(spark):
+    rng = np.random.default_rng(12)
+    items = [(n, " ".join(f"b{x}" for x in rng.choice(150, n, replace=False))) for n in range(8, 21)]
+    texts = []
+    for n, item in items:
+        words_of, points = item.split(), math.floor(2 * n * (1 - decontaminate.LEAST_SCORE) + 1e-9)
+        for kind in ("changed", "left out", "put in", "mixed", "mixed", "too many"):
+            own, at = [[x] for x in words_of], rng.permutation(n - 2) + 1
+            left = points + 1 if kind == "too many" else points
+            if kind in ("changed", "left out"):
+                # Evenly, so that runs of unchanged words are as short as they can be.
+                for i in range(left // 3):
+                    own[(i + 1) * (n + 1) // (left // 3 + 1) - 1] = ["new"] if kind == "changed" else []
+            else:
+                if kind == "mixed":
+                    for i in at[: left // 6]:
+                        own[i] = ["new"] if i % 2 else []
+                    left -= left // 6 * 3
+                for i in rng.permutation(n - 1)[:left]:
+                    own[i] = own[i] + ["more"]
+            texts.append(prose(rng, 40) + " " + " ".join(sum(own, [])) + " " + prose(rng, 40))
+    # What survives an edit also occurs elsewhere, and so is more common than what does not.
+    texts += [" ".join(rng.permutation(x.split("new"))) for x in texts]
+    rows = list(enumerate(texts))
+
+    def hashed(text):
+        return next(words(pa.array([text]), punctuation=True))[1].hashes
+
+    want = {}
+    for (i, text), (n, item) in itertools.product(rows, items):
+        score = decontaminate.align(hashed(item), hashed(text))[0] / (2 * n)
+        if score >= decontaminate.LEAST_SCORE:
+            want[i, n] = score
+    found = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in found} == want
+    assert {i for i in range(len(items) * 6) if i % 6 < 5} <= {i for i, _ in want}
+
+
 def test_shards_are_a_permutation(spark):
     for total in (1, 2, 3, 24, 1000, 4097):
         assert sorted(sharding.permuted(np.arange(total), total).tolist()) == list(range(total))
