@@ -8,7 +8,7 @@ together, the passage around them is aligned with the item word by word, and the
 against a perfect copy. So every passage that reaches the least score is aligned. Both scans stay in the partitions
 of the documents: no text is shuffled.
 
-Words are runs of letters, digits and non-ASCII characters, lower case in A-Z. Defined results: null and empty
+Words are runs of letters, digits and non-ASCII characters, without regard to the case of any script. Defined results: null and empty
 texts and items match nothing. An item shorter than the n-gram is its own single seed and needs a perfect
 copy. Repeated documents each match; repeated item rows match once per distinct text. Extra columns are not
 read. Without items or documents the result is empty.
@@ -77,7 +77,7 @@ def _plain_grams(n: int, least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, chunk in words(batch.column(1), punctuation=True):
+            for at, chunk in words(batch.column(1), punctuation=True, folded=True):
                 hashes, doc, first = chunk.shingles(n)
                 spared = np.array([surely_left(x, n, least) // 2 for x in chunk.counts.tolist()], np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -105,7 +105,7 @@ def _frequencies(grams: np.ndarray, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(grams), np.int64)
         for batch in batches:
-            for _, chunk in words(batch.column(0), punctuation=True):
+            for _, chunk in words(batch.column(0), punctuation=True, folded=True):
                 hashes, doc, _ = _runs(chunk, sizes)
                 at = _found(grams, hashes)
                 hit = np.flatnonzero(at >= 0)
@@ -177,7 +177,7 @@ def _scan(seeds: dict, sizes: list[int], n: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, out = [], []
-            for at, chunk in words(batch.column(1), punctuation=True):
+            for at, chunk in words(batch.column(1), punctuation=True, folded=True):
                 hashes, doc, first = _runs(chunk, sizes)
                 hit = np.flatnonzero(_found(grams, hashes) >= 0)
                 hit = hit[np.argsort(doc[hit], kind="stable")]
@@ -239,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, leas
 
 def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float, schema: str, turn: int) -> DataFrame:
     rows = items.collect()
-    chunks = [c for _, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True)]
+    chunks = [c for _, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True, folded=True)]
     texts = [c.hashes[a:b] for c in chunks for a, b in zip(c.bounds[:-1], c.bounds[1:], strict=True)]
     sizes = sorted({n} | {len(x) for x in texts if 0 < len(x) < n})
     grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n, least), "item_id long, gram long, place int, spared int"))

@@ -2,7 +2,8 @@
 
 Words are maximal runs of bytes other than space and tab to carriage return, after lower-casing A-Z; with
 ``punctuation``, every ASCII byte that is neither letter nor digit also ends a word. In UTF-8 these bytes never
-occur inside another character, so the byte view is exact.
+occur inside another character, so the byte view is exact. With ``folded``, letters of all scripts are compared
+without regard to case.
 """
 
 from __future__ import annotations
@@ -130,7 +131,14 @@ def _long(data: np.ndarray, space: np.ndarray, stem: int) -> Words:
     return Words(hashes, np.array([0, len(hashes)]), stems)
 
 
-def words(texts: pa.Array, punctuation: bool = False, stem: int = 0) -> Iterator[tuple[int, Words]]:
+def _folded(texts: pa.Array) -> pa.Array:
+    """Unicode case folding of texts, so a sharp s and its capitals or a final sigma match; bytes that are no UTF-8 stay."""
+    raw = texts.cast(pa.large_binary()).to_pylist()
+    raw = [x.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for x in raw]
+    return pa.array(raw, pa.large_binary()).view(pa.large_string())
+
+
+def words(texts: pa.Array, punctuation: bool = False, stem: int = 0, folded: bool = False) -> Iterator[tuple[int, Words]]:
     """Index of the first document and the words of some documents, chunk by chunk. Null text: no words."""
     if not len(texts):
         return
@@ -143,7 +151,10 @@ def words(texts: pa.Array, punctuation: bool = False, stem: int = 0) -> Iterator
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
         part = data[offsets[at] : offsets[end]]
-        if len(part) > CHUNK_BYTES:
+        if folded:
+            for i, chunk in words(_folded(texts.slice(at, end - at)), punctuation, stem):
+                yield at + i, chunk
+        elif len(part) > CHUNK_BYTES:
             yield at, _long(part, gap, stem)
         else:
             yield at, _words_of(part, offsets[at : end + 1] - offsets[at], gap, stem)

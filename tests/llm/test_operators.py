@@ -382,6 +382,25 @@ def test_decontamination_finds_every_edit_up_to_the_least_score(spark):
     assert {i for i in range(len(items) * 6) if i % 6 < 5} <= {i for i, _ in want}
 
 
+def test_decontamination_disregards_case_in_all_scripts(spark):
+    items = [
+        (1, "Según él, ñandú y cigüeña están aquí; además órbita única, época íntima y ácido"),
+        (2, "Съешь же ещё этих мягких французских булок да выпей чаю сейчас"),
+        (3, "ὁ λόγος ὅτι Ἀθῆναι πόλις μεγάλης σοφίας τε καὶ τέχνης"),
+        (4, "çok güzel"),
+        (5, "große Straße"),
+    ]
+    rows = [(10 * i + k, f"vorher {t} nachher") for i, text in items for k, t in enumerate((text, text.upper(), text.lower()))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(documents(spark, rows), table).collect()
+    assert sorted((r.doc_id, r.item_id, r.score) for r in found) == [(i, i // 10, 1.0) for i, _ in rows]
+    broken = pa.array([b"\xff \xc3\x89 ", b""], pa.binary()).view(pa.string())
+    assert [(at, chunk.counts.tolist()) for at, chunk in words(broken, punctuation=True, folded=True)] == [(0, [2, 0])]
+    # Operator 1 keeps to A-Z.
+    plain, other = next(words(pa.array(["é", "É"])))[1].hashes
+    assert plain != other
+
+
 def test_shards_are_a_permutation(spark):
     for total in (1, 2, 3, 24, 1000, 4097):
         assert sorted(sharding.permuted(np.arange(total), total).tolist()) == list(range(total))
