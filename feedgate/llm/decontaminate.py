@@ -8,10 +8,11 @@ together, the passage around them is aligned with the item word by word, and the
 against a perfect copy. So every passage that reaches the least score is aligned. Both scans stay in the partitions
 of the documents: no text is shuffled.
 
-Words are runs of letters, digits and non-ASCII characters, without regard to the case of any script. Defined results: null and empty
-texts and items match nothing. An item shorter than the n-gram is its own single seed and needs a perfect
-copy. Repeated documents each match; repeated item rows match once per distinct text. Extra columns are not
-read. Without items or documents the result is empty.
+Words are runs of letters, digits and non-ASCII characters, without regard to the case of any script. Defined
+results: null and empty texts and items match nothing. An item shorter than the n-gram is its own single seed and
+needs a perfect copy. Repeated documents each match; repeated item rows match once per distinct text, under the
+smallest id of that text. Different texts may share an id or have none: each matches in a row of its own. Extra
+columns are not read. Without items or documents the result is empty.
 
 The benchmark is handed to the tasks in slices of bounded size, one scan for each, so it can be of any size.
 """
@@ -73,7 +74,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 def _plain_grams(n: int, least: float):
-    """Every n-gram of an item: its id, hash and place, and how many of the item's may be spared as seeds."""
+    """Every n-gram of an item: its number, hash and place, and how many of the item's may be spared as seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +88,7 @@ def _plain_grams(n: int, least: float):
                         pa.array((first - chunk.bounds[doc]).astype(np.int32)),
                         pa.array(spared[doc]),
                     ],
-                    ["item_id", "gram", "place", "spared"],
+                    ["number", "gram", "place", "spared"],
                 )
 
     return run
@@ -222,8 +223,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, leas
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = text.schema["doc_id"].dataType.simpleString()
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = keep("items", items.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id")))
-    items = items.select("item_id", "text")
+    items = items.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
+    # Ids may repeat or be null; a distinct text has a number of its own, fixed by writing it.
+    items = keep("items", items.select(F.monotonically_increasing_id().alias("number"), "text", "item_id"))
     schema = f"doc_id {kind}, item_id long, score double, end_word int, seed_hits int"
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = 1 + size // SLICE_BYTES
@@ -242,23 +244,23 @@ def _slice(spark, keep, text: DataFrame, items: DataFrame, n: int, least: float,
     chunks = [c for _, c in words(pa.array([r.text for r in rows], pa.string()), punctuation=True, folded=True)]
     texts = [c.hashes[a:b] for c in chunks for a, b in zip(c.bounds[:-1], c.bounds[1:], strict=True)]
     sizes = sorted({n} | {len(x) for x in texts if 0 < len(x) < n})
-    grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n, least), "item_id long, gram long, place int, spared int"))
+    grams = keep(f"grams{turn}", items.mapInArrow(_plain_grams(n, least), "number long, gram long, place int, spared int"))
     known = np.unique(np.array([r.gram for r in grams.select("gram").distinct().collect()], np.int64).astype(np.uint64))
     counted = text.select("text").mapInArrow(_frequencies(known, sizes), "gram long, documents long")
     counted = counted.groupBy("gram").agg(F.sum("documents").alias("documents"))
     # N-grams no document holds are not in ``counted``: they seed nothing.
     ranked = grams.join(counted, "gram").select(
-        "item_id",
+        "number",
         "gram",
-        F.expr("row_number() over (partition by item_id order by documents desc, place desc) <= spared").alias("common"),
+        F.expr("row_number() over (partition by number order by documents desc, place desc) <= spared").alias("common"),
     )
     seeds = ranked.where("not common").collect()
-    index = {r.item_id: i for i, r in enumerate(rows)}
+    index = {r.number: i for i, r in enumerate(rows)}
     unsigned = np.array([s.gram for s in seeds], np.int64).astype(np.uint64)
     order = np.argsort(unsigned, kind="stable")
     table = {
         "gram": unsigned[order],
-        "item": np.array([index[s.item_id] for s in seeds], np.int64)[order],
+        "item": np.array([index[s.number] for s in seeds], np.int64)[order],
         "id": [r.item_id for r in rows],
         "words": texts,
     }

@@ -401,6 +401,18 @@ def test_decontamination_disregards_case_in_all_scripts(spark):
     assert plain != other
 
 
+def test_decontamination_keeps_items_that_share_an_id_apart(spark):
+    rng = np.random.default_rng(13)
+    texts = [" ".join(f"b{x}" for x in rng.integers(0, 300, n)) for n in (12, 30, 25, 16, 40, 9)]
+    items = [(0, texts[0]), (0, texts[1]), (1, texts[2]), (None, texts[3]), (None, texts[4]), (0, texts[5]), (7, texts[5])]
+    rows = [(i, prose(rng, 20) + " " + t + " " + prose(rng, 20)) for i, t in enumerate(texts)]
+    rows.append((6, texts[1] + " " + prose(rng, 20) + " " + texts[0]))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(documents(spark, rows), table).collect()
+    want = [(0, 0), (1, 0), (2, 1), (3, None), (4, None), (5, 0), (6, 0), (6, 0)]
+    assert sorted(((r.doc_id, r.item_id) for r in found), key=repr) == want and all(r.score == 1.0 for r in found)
+
+
 def test_shards_are_a_permutation(spark):
     for total in (1, 2, 3, 24, 1000, 4097):
         assert sorted(sharding.permuted(np.arange(total), total).tolist()) == list(range(total))
