@@ -1,12 +1,13 @@
 """The corpus pipeline: from raw documents to a cleaned, mixed and sharded training corpus.
 
-Every stage takes all rows its predecessor kept and returns whole rows. Documents without ``doc_id`` pass the
-stages that drop rows by id.
+Every stage takes all rows its predecessor kept and returns whole rows. Rows are judged one by one, also where a
+``doc_id`` repeats. Documents without ``doc_id`` are not dropped as near copies; the other stages judge them too.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedgate.llm import decontaminate, mixing, near_dedup, sharding, toxicity
 from feedgate.plans.workspace import Workspace
@@ -28,9 +29,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no copy, edited or not, of a benchmark item."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    ids = Workspace(spark, "pipeline").keep("contaminated", found.where("doc_id is not null").select("doc_id").distinct())
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    # The text alone decides; the id only spreads out rows of one text.
+    digest = F.md5(docs["text"].cast("string").cast("binary"))
+    rows = docs.select(F.struct(F.col("doc_id").alias("id"), digest.alias("digest")).alias("doc_id"), "text")
+    found = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = Workspace(spark, "pipeline").keep("contaminated", found.select("doc_id.id", "doc_id.digest").distinct())
+    same = docs["doc_id"].eqNullSafe(found["id"]) & (digest == found["digest"])
+    return docs.join(found, same, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

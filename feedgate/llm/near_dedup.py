@@ -108,8 +108,9 @@ def _prints(shingle: int, bands: int, band_rows: int):
                         pa.array([set_id(x) for x in each], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), flat),
                         pa.array([bytes(x) for x in (sig & np.uint64(0xFF)).astype(np.uint8)], pa.binary()),
+                        batch.column(2).slice(at, len(each)),
                     ],
-                    ["doc_id", "n_shingles", "node", "bands", "sig"],
+                    ["doc_id", "n_shingles", "node", "bands", "sig", "of_text"],
                 )
 
     return run
@@ -215,16 +216,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     pair by pair. Only large buckets that still hold several components are then compared across these.
     Signatures decide which pairs are worth the full sets, and only for these texts are sets built again.
     """
+    return _grouped(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _text_hash(docs: DataFrame):
+    """Tells rows of one id apart."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with the component's ``root``, null for an empty set, and the hash of the row's text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     keep = Workspace(spark, "near-dedup").keep
-    text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    text = docs.select("doc_id", F.col("text").cast("string").alias("text"), _text_hash(docs).alias("of_text"))
     kind = text.schema["doc_id"].dataType.simpleString()
     prints = keep(
         "prints",
         text.mapInArrow(
             _prints(shingle, bands_for(percent), BAND_ROWS),
-            f"doc_id {kind}, n_shingles long, node long, bands array<long>, sig binary",
+            f"doc_id {kind}, n_shingles long, node long, bands array<long>, sig binary, of_text long",
         ),
     )
     filled = prints.where("n_shingles > 0")
@@ -301,24 +312,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
 
     of_node = keep("of_node", lows.join(root, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")))
     of_root = keep("of_root", of_node.groupBy("root").agg(F.min("low").alias("component_id")))
-    names = keep("names", of_node.join(of_root, "root").select("node", "component_id"))
-    grouped = filled.select("doc_id", "n_shingles", "node").join(names, "node").drop("node")
+    names = keep("names", of_node.join(of_root, "root").select("node", "component_id", "root"))
+    grouped = filled.select("doc_id", "n_shingles", "of_text", "node").join(names, "node").drop("node")
     # The empty set is nobody's copy.
-    alone = prints.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = prints.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", "of_text", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root")
+    )
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def without_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``docs`` with one row of every group: the one with the smallest ``doc_id``.
 
-    Rows without ``doc_id`` stay. Of rows equal in ``doc_id`` and text one stays; only ids that repeat are compared.
+    A row is dropped by its id and text, so others of that id stay. Where different texts of a group share the
+    smallest id, the one with the smallest hash stays. Rows without ``doc_id`` stay. Of rows equal in ``doc_id`` and
+    text one stays; only ids that repeat are compared.
     """
-    found = near_duplicates(docs, shingle, percent)
-    dropped = found.where("doc_id is not null and not kept").select("doc_id")
+    found = _grouped(docs, shingle, percent)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     keep = Workspace(docs.sparkSession, "near-dedup").keep
-    dropped, repeated = keep("dropped", dropped.distinct()), keep("repeated", repeated)
-    rest = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    found = keep("found", found.where("doc_id is not null").select("doc_id", "of_text", "root", "kept"))
+    firsts = found.where("kept and root is not null").groupBy("root").agg(F.min("of_text").alias("first"), F.max("of_text").alias("last"))
+    firsts = keep("firsts", firsts.where("first <> last").select("root", "first"))
+    surplus = found.where("kept").join(firsts, "root").where("of_text <> first")
+    dropped = found.where("not kept").select("doc_id", "of_text").union(surplus.select("doc_id", "of_text")).distinct()
+    dropped, repeated = keep("dropped", dropped), keep("repeated", repeated)
+    same = (docs["doc_id"] == dropped["doc_id"]) & (_text_hash(docs) == dropped["of_text"])
+    rest = docs.join(dropped, same, "left_anti").select(docs.columns)
     if repeated.isEmpty():
         return rest
     once = rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])

@@ -88,6 +88,14 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_duplicates_are_dropped_row_by_row(spark):
+    rng = np.random.default_rng(14)
+    copied, clean, twice = (prose(rng, 60) for _ in range(3))
+    rows = [(1, copied), (5, copied), (5, clean), (7, clean + " "), (9, twice), (9, twice + " "), (9, ""), (9, None), (5, clean)]
+    left = near_dedup.without_duplicates(documents(spark, rows), 3, 85).select("doc_id", "text").collect()
+    assert sorted((r.doc_id, (r.text or "").strip()) for r in left) == sorted([(1, copied), (5, clean), (9, twice), (9, ""), (9, "")])
+
+
 def test_large_bucket_in_several_components(spark):
     """A chain of copies in one bucket, none of them like the smallest: only the block comparison links it."""
     rng = np.random.default_rng(5)

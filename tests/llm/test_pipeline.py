@@ -38,3 +38,12 @@ def test_pipeline_stages(spark):
     assert all(0 < b <= a for a, b in sizes) and sizes[1][1] < sizes[1][0]
     out = corpus_pipeline.run(spark, SF)
     assert out.groupBy("shard", "slot").count().where("count > 1").isEmpty() and not out.isEmpty()
+
+
+def test_contaminated_rows_are_dropped_row_by_row(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(1, "a clean text"), (1, f"before {item} after"), (None, f"{item} after"), (None, "another clean text"), (2, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted((r for r in rows if not r[1] or "clean" in r[1]), key=repr)
