@@ -3,7 +3,7 @@
 Three base kinds are plain patterns. Beyond them, runs of base64 or hex characters, PEM blocks and dotted
 tokens are only candidates: they are decoded, and reported when the decoded bytes are a private key (DER
 with nested lengths that fill it exactly, or an OpenSSH key with its length-prefixed fields) or when the
-header of a signed token is a JSON object that names an algorithm.
+header of a signed token is a JSON object that names an algorithm. Base64 wrapped over lines is joined first.
 
 Defined results: null or empty text has no spans. Rows are scanned one by one, so repeated rows repeat
 their result, and other columns are not read. Texts are scanned whole. Positions are code points.
@@ -35,12 +35,19 @@ WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "apikey", "api_key")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]*)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# A brace, with white space before it or after it, in base64.
+TOKEN = re.compile(
+    r"(?<![A-Za-z0-9_-])((?:e[yw]|I[ACH]|C[QSXgin]|D[QSX])[A-Za-z0-9_-]+)(?=\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*))"
+)
 OPENSSH = b"openssh-key-v1\0"
 
 _RUN = np.zeros(256, bool)
 _RUN[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-", np.uint8)] = True
 LONG_RUN = 20
+# Lines looked at for one key: far more than the largest keys have.
+MOST_LINES = 2000
 
 
 def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -68,11 +75,14 @@ def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 def der_key(data: bytes) -> bool:
-    """A DER sequence that fills the data and starts like a private key: version, then numbers or algorithm."""
+    """A DER sequence that fills the data and starts like a private key: version, then numbers or algorithm, or encrypted."""
     outer = _tlv(data, 0, len(data))
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
     parts = _children(data, outer[1], outer[2])
+    if parts and [x[0] for x in parts] == [0x30, 0x04]:  # encrypted: algorithm with its parameters, then the wrapped key
+        names = _children(data, parts[0][1], parts[0][2])
+        return bool(names) and [x[0] for x in names] == [0x06, 0x30] and parts[1][2] - parts[1][1] >= 16
     if not parts or len(parts) < 2 or parts[0][0] != 0x02 or parts[0][2] - parts[0][1] != 1:
         return False
     tags = [x[0] for x in parts]
@@ -110,15 +120,67 @@ def _is_key(data: bytes | None) -> bool:
     return data is not None and (der_key(data) or openssh_key(data))
 
 
-def signed_token(header: str, payload: str) -> bool:
-    for part in (header, payload):
-        try:
-            value = json.loads(_decoded(part) or b"")
-        except (ValueError, RecursionError):
-            return False
-        if not isinstance(value, dict) or (part is header and not isinstance(value.get("alg"), str)):
-            return False
-    return True
+def signed_token(header: str) -> bool:
+    """The payload may be detached, compressed or plain text, so the header alone decides."""
+    try:
+        value = json.loads(_decoded(header) or b"")
+    except (ValueError, RecursionError):
+        return False
+    return isinstance(value, dict) and isinstance(value.get("alg"), str)
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    done = 0
+    for m in TOKEN.finditer(text):
+        if m.start() >= done and (m[2] or m[3]) and signed_token(m[1]):
+            done = m.end(3)
+            yield m.start(), done
+
+
+def _openssh_size(data: bytes) -> int:
+    """Bytes of the key at the start of the data: three fields, the public keys, the private part."""
+
+    def after(at: int, fields: int) -> int:
+        for _ in range(min(fields, len(data))):
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        return at
+
+    at = after(len(OPENSSH), 3)
+    return after(at + 4, int.from_bytes(data[at : at + 4], "big") + 1)
+
+
+def _wrapped_end(lines: list[re.Match]) -> int:
+    """How many of the lines the key that begins with the first one takes, or 0."""
+    text = lines[0][0]
+    if text.startswith("b3BlbnNzaC1rZXktdjE"):
+        whole = "".join(x[0].rstrip("=") for x in lines)
+        total = _openssh_size(_decoded(whole[: len(whole) // 4 * 4]) or b"")
+    else:
+        head = _decoded(text[:8]) if text.startswith("M") else None
+        size = head[1] & 0x7F if head and head[1] & 0x80 else 0
+        if not head or head[0] != 0x30 or size > 4:
+            return 0
+        total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    left = -(-total * 4 // 3)
+    for n, line in enumerate(lines, 1):
+        left -= len(line[0].rstrip("="))
+        if left <= 0:
+            return n if left == 0 else 0
+    return 0
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Keys in base64 over several lines."""
+    for m in WRAPPED.finditer(text):
+        lines = list(LINE.finditer(text, m.start(), m.end()))
+        at = 0
+        while at < len(lines):
+            n = _wrapped_end(lines[at : at + MOST_LINES])
+            if n > 1 and _is_key(_decoded("".join(x[0] for x in lines[at : at + n]))):
+                yield lines[at].start(), lines[at + n - 1].end()
+                at += n
+            else:
+                at += 1
 
 
 def spans(text: str, runs: bool = True) -> list[tuple[int, int, int]]:
@@ -134,8 +196,12 @@ def spans(text: str, runs: bool = True) -> list[tuple[int, int, int]]:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         found += [(m.start(), 4, m.end()) for m in BASE64_RUN.finditer(text) if _is_key(_decoded(m[0]))]
         found += [(m.start(), 5, m.end()) for m in HEX_RUN.finditer(text) if _is_key(bytes.fromhex(m[0]))]
-    if "eyJ" in text:
-        found += [(m.start(), 6, m.end()) for m in TOKEN.finditer(text) if signed_token(m[1], m[2])]
+        armoured = [(a, b) for a, k, b in found if k == 3]
+        for a, b in _wrapped(text):
+            if not any(x <= a and b <= y for x, y in armoured):
+                found = [x for x in found if x[1] != 4 or x[2] <= a or x[0] >= b] + [(a, 4, b)]
+    if "." in text:
+        found += [(a, 6, b) for a, b in _tokens(text)]
     return sorted(found)
 
 

@@ -88,6 +88,37 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_secrets_in_other_encodings():
+    def b64(data):
+        return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+    def tlv(tag, data):
+        size = bytes([len(data)]) if len(data) < 128 else b"\x82" + len(data).to_bytes(2, "big")
+        return bytes([tag]) + size + data
+
+    tokens = [
+        b64(b'{"alg":"HS256"}') + ".." + "s" * 20,
+        b64(b'{ "alg": "HS256"}') + "." + b64(b"plain text") + "." + "s" * 20,
+        b64(b'\n{"alg":"HS256"}') + "." + b64(b"\x78\x9c\x01") + "." + "s" * 20,
+    ]
+    for token in tokens:
+        assert secrets.spans(f"It.is {token}, so") == [(6, 6, 6 + len(token))]
+    assert secrets.spans(b64(b'{"typ":"HS256"}') + ".e30.ssss") == [] == secrets.spans("Inc.It.Do.")
+    sealed = tlv(0x30, tlv(0x30, tlv(0x06, b"\x2a\x86\x48") + tlv(0x30, b"\x02\x01\x01")) + tlv(0x04, bytes(range(200)) * 2))
+    digest = tlv(0x30, tlv(0x30, tlv(0x06, b"\x2a\x86\x48") + tlv(0x05, b"")) + tlv(0x04, bytes(64)))
+    assert secrets.der_key(sealed) and not secrets.der_key(digest)
+    for width in (64, 76):
+        lines = re.findall(f".{{1,{width}}}", base64.b64encode(sealed).decode())
+        key = "\n".join(lines)
+        assert secrets.spans(f"key {key}\nthen other words") == [(4, 4, 4 + len(key))]
+        assert secrets.spans(f"{key[:-30]}\nthen other words") == []
+    fields = [b"none", b"none", b"", b"public" * 9, b"private" * 30]
+    fields = [len(x).to_bytes(4, "big") + x for x in fields]
+    opened = secrets.OPENSSH + b"".join(fields[:3]) + (1).to_bytes(4, "big") + b"".join(fields[3:])
+    key = "\n".join(re.findall(".{1,70}", base64.b64encode(opened).decode()))
+    assert secrets.spans(f"key {key}\nthen other words") == [(4, 4, 4 + len(key))]
+
+
 def test_duplicates_are_dropped_row_by_row(spark):
     rng = np.random.default_rng(14)
     copied, clean, twice = (prose(rng, 60) for _ in range(3))
