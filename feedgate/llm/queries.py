@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedgate.llm import chat, decontaminate, mixing, near_dedup, neighbours, secrets, sharding, token_counts, toxicity, url_filter
+from feedgate.llm import (
+    chat,
+    decontaminate,
+    license_notices,
+    mixing,
+    near_dedup,
+    neighbours,
+    periodic_runs,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+    turn_repair,
+    url_filter,
+)
 from feedgate.plans.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +150,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_repeats(_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(planted))
+
+
+def op12_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices.digest(license_notices.license_notices(_table(spark, sf_dir, "documents")))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_digest(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -150,6 +177,9 @@ def queries() -> dict[str, Query]:
             op8_shard,
             op9_chat,
             op10_url_filter,
+            op11_periodic_runs,
+            op12_license_notices,
+            op13_turn_repair,
         )
     }
 
