@@ -39,5 +39,18 @@ class Workspace:
 
     def close(self) -> None:
         """Delete the folder; tables kept in it must not be read any more."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._files().delete(self._folder(), True)
+
+    def only(self, *names: str) -> None:
+        """Delete all tables but the named ones."""
+        files = self._files()
+        if files.exists(self._folder()):
+            for found in files.listStatus(self._folder()):
+                if found.getPath().getName() not in names:
+                    files.delete(found.getPath(), True)
+
+    def _folder(self):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+
+    def _files(self):
+        return self._folder().getFileSystem(self.spark._jsc.hadoopConfiguration())
