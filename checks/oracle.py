@@ -376,6 +376,28 @@ SELECTS = {
 }
 
 
+# Rows of the damaged deliveries that can be measured, and what is against the others.
+RAGGED = "_delivery_month = '2025-09' AND claim_line = '7'"
+DAMAGED = f"SELECT * FROM ({RAW_CLAIMS.format(**TABLES)}) WHERE _delivery_month NOT IN ('2025-02', '2025-05') AND NOT ({RAGGED})"
+ISOLATED = """
+    SELECT _delivery_month, total_rows,
+           CASE _delivery_month
+               WHEN '2025-02' THEN 'MISSING_REQUIRED_COLUMNS' WHEN '2025-05' THEN 'UNREADABLE_FILE'
+               WHEN '2025-09' THEN array_to_string(list_prepend('REJECTED_ROWS', codes), '|')
+               ELSE reason_codes END AS reason_codes,
+           if(_delivery_month IN ('2025-02', '2025-05', '2025-09'), 'BLOCK', decision) AS decision
+    FROM decisions JOIN (SELECT _delivery_month, codes FROM reasons) USING (_delivery_month)"""
+_RECORD = ", ".join(f"coalesce({c}, '')" for c in C.columns)
+SELECTS["rejected_rows"] = f"""
+    SELECT _delivery_month, _source_file, concat_ws('|', {_RECORD}, 'EXTRA') AS record
+    FROM raw_claims WHERE {RAGGED}"""
+SELECTS["catalog_drift"] = SELECTS["drifting_parts"]
+
+
+def _chain(steps: dict[str, str]) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in steps.items())
+
+
 def oracle_sql() -> dict[str, str]:
-    chain = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items())
-    return {key: f"{chain}\n{select}" for key, select in SELECTS.items()}
+    found = {key: f"{_chain(STEPS)}\n{select}" for key, select in SELECTS.items()}
+    return found | {"isolated_decisions": f"{_chain(STEPS | {'raw_claims': DAMAGED})}\n{ISOLATED}"}

@@ -7,9 +7,10 @@ all queries read them from there. The stages several queries build on are kept n
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from feedgate.plans import build as full_build
 from feedgate.plans.feed import FeedPlan
 from feedgate.plans.workspace import Workspace
 from feedgate.sinks import catalog, tables
+from feedgate.sources import arrivals
 from feedgate.sources import deliveries as source
 from feedgate.sources.inventory import inventory_files
 
@@ -37,6 +39,8 @@ class Feed:
     graph: str
     work: Workspace
     plan: FeedPlan
+    drifted: list[source.Delivery] = field(default_factory=list)
+    arrivals: arrivals.Arrivals | None = None
 
 
 _feeds: dict[tuple[str, str], Feed] = {}
@@ -62,12 +66,12 @@ def feed(spark: SparkSession, sf_dir: str) -> Feed:
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, so that both engines hand over the same values."""
 
-    def plain(field: T.StructField):
-        if isinstance(field.dataType, T.DecimalType):
-            return F.col(field.name).cast("double").alias(field.name)
-        if isinstance(field.dataType, T.DateType):
-            return F.col(field.name).cast("string").alias(field.name)
-        return F.col(field.name)
+    def plain(of: T.StructField):
+        if isinstance(of.dataType, T.DecimalType):
+            return F.col(of.name).cast("double").alias(of.name)
+        if isinstance(of.dataType, T.DateType):
+            return F.col(of.name).cast("string").alias(of.name)
+        return F.col(of.name)
 
     return df.select(*[plain(f) for f in df.schema.fields])
 
@@ -132,14 +136,14 @@ def scan_parquet(f: Feed) -> DataFrame:
     return _scan(f, delimited=False)
 
 
-@query
-def drifting_parts(f: Feed) -> DataFrame:
+def drifted(f: Feed) -> list[source.Delivery]:
     """Every delivery written anew: Parquet parts that differ in columns, types and case; text with line breaks.
 
     One kind of Parquet part holds the code as a number under an upper-case name, one as text, one not at all.
     Delimited deliveries have their columns reversed, in upper case, and a quoted line break in a note.
     """
-    drifted = []
+    if f.drifted:
+        return f.drifted
     for d in f.deliveries:
         sent = source.Delivery(f"{f.work.path('drift')}/{d.name}", multiline=d.is_delimited)
         lines = f.plan.staged.where(F.col("_delivery_month") == d.month).select(*f.plan.contract.columns)
@@ -153,11 +157,69 @@ def drifting_parts(f: Feed) -> DataFrame:
             rest = lines.where("claim_type <> 'PROF'")
             rest.where("gender = 'M'").write.mode("append").parquet(sent.path)
             rest.where("gender <> 'M'").drop("npi").write.mode("append").parquet(sent.path)
-        drifted.append(sent)
-    read = source.read_feed(_spark(f), drifted)
+        f.drifted.append(sent)
+    return f.drifted
+
+
+@query
+def drifting_parts(f: Feed) -> DataFrame:
+    read = source.read_feed(_spark(f), drifted(f))
     return read.select(*[F.col(c).alias(c) for c in (*f.plan.contract.columns, "vendor_note")], "_source_file")
 
 
+def _headed(header: str):
+    def run(parts):
+        yield pd.DataFrame({"value": [header]})
+        yield from parts
+
+    return run
+
+
+def damaged(f: Feed) -> arrivals.Arrivals:
+    """The feed with broken deliveries: one lacks a required column, one is no Parquet, one has rows with a field too many."""
+    if f.arrivals is None:
+        columns, sent = f.plan.contract.columns, []
+        for d in f.deliveries:
+            lines = f.plan.staged.where(F.col("_delivery_month") == d.month).select(*columns)
+            broken = source.Delivery(f"{f.work.path('damaged')}/{d.name}")
+            if d.month == "2025-02":
+                lines.drop("charge_amount").write.parquet(broken.path)
+            elif d.month == "2025-05":
+                lines.select(F.col("claim_id").alias("value")).write.text(broken.path)
+            elif d.month == "2025-09":
+                row = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns])
+                surplus = F.when(F.col("claim_line") == "7", F.lit("|EXTRA")).otherwise("")
+                text = lines.select(F.concat(row, surplus).alias("value")).repartition(3)
+                text.mapInPandas(_headed("|".join(columns)), "value string").write.text(broken.path)
+            else:
+                broken = d
+            sent.append(broken)
+        f.arrivals = arrivals.receive(_spark(f), sent, f.plan.contract, f.work.keep)
+    return f.arrivals
+
+
+@query
+def rejected_rows(f: Feed) -> DataFrame:
+    """Rows with a field too many, as they were sent."""
+    return damaged(f).rejected.select("_delivery_month", "_source_file", "record")
+
+
+@query
+def isolated_decisions(f: Feed) -> DataFrame:
+    """Three broken deliveries block themselves; the gate decides on the others."""
+    found = damaged(f)
+    plan = FeedPlan(
+        staged=found.staged(f.plan.contract),
+        graph=f.plan.graph,
+        expected=f.plan.expected,
+        contract=f.plan.contract,
+        keep=lambda name, df, partition=None: f.work.keep(f"isolated_{name}", df, partition),
+        ingested_at=f.plan.ingested_at,
+        issues=found.issues,
+    )
+    return plan.decisions.drop("all_reasons")
+
+
 @query
 def scan_tokens(f: Feed) -> DataFrame:
     return source.read_dimension(_spark(f), f.graph)
@@ -465,3 +527,16 @@ def catalog_raw(f: Feed) -> DataFrame:
         for n in names
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def catalog_drift(f: Feed) -> DataFrame:
+    """All rows and columns of the drifting deliveries, through the catalog."""
+    folder = f.work.path("drift_database")
+    database = f"{DATABASE}_drift"
+    _spark(f).sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    sent = drifted(f)
+    names = catalog.register_raw(_spark(f), database, sent, f.graph)
+    read = [source.with_lineage(_spark(f).table(name), d) for name, d in zip(names, sent, strict=False)]
+    rows = staging.union_deliveries(read)
+    return rows.select(*[F.col(c).alias(c) for c in (*f.plan.contract.columns, "vendor_note")], "_source_file")

@@ -61,6 +61,10 @@ BLOCKING_REASONS = (
 )
 
 
+# What can be wrong with a delivery before its lines are looked at; raised when deliveries are judged one by one.
+ARRIVAL_REASONS = ("UNREADABLE_FILE", "MISSING_REQUIRED_COLUMNS", "REJECTED_ROWS")
+
+
 @dataclass(frozen=True)
 class FeedContract:
     """Column roles, thresholds, domains and gate codes; the defaults are the published agreement."""
@@ -91,7 +95,8 @@ class FeedContract:
     replacement_code: str = "7"
     reversal_code: str = "8"
 
-    blocking_reasons: tuple[str, ...] = BLOCKING_REASONS
+    required_columns: tuple[str, ...] = ("claim_id", "claim_line", "date_of_service", "charge_amount")
+    blocking_reasons: tuple[str, ...] = (*BLOCKING_REASONS, "REJECTED_ROWS")
 
     def type_of(self, column: str) -> T.DataType:
         """The contracted type of one column."""

@@ -22,6 +22,16 @@ def as_text(column: Column, dtype: T.DataType) -> Column:
     return column.cast("string")
 
 
+def as_text_sql(column: str, dtype: T.DataType) -> str:
+    """``as_text`` as SQL, for a view."""
+    if isinstance(dtype, T.StringType):
+        return column
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        whole = f"abs({column}) < 1e15 AND {column} = floor({column})"
+        return f"CASE WHEN {whole} THEN concat(CAST(CAST({column} AS bigint) AS string), '.0') ELSE CAST({column} AS string) END"
+    return f"CAST({column} AS string)"
+
+
 def safe_int(text: Column) -> Column:
     """Whole numbers directly; decimal and exponent forms round half away from zero, once.
 

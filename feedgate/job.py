@@ -44,6 +44,7 @@ def _arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--sample-factor", type=int, help="overrides the contract")
     parser.add_argument("--expected", nargs="+", metavar="YYYY-MM", help="the calendar; by default what is delivered")
     parser.add_argument("--multiline", action="store_true", help="delimited deliveries hold quoted line breaks")
+    parser.add_argument("--isolate", action="store_true", help="block broken deliveries one by one instead of stopping")
     arguments = parser.parse_args(argv)
     if arguments.command != "inventory" and not (arguments.tokens and arguments.out):
         parser.error("--tokens and --out are needed to build")
@@ -62,15 +63,15 @@ def main(argv: Sequence[str]) -> None:
     spark = SparkSession.builder.appName(f"feedgate-{chosen.command}").getOrCreate()
     deliveries = manifest(chosen.deliveries, chosen.multiline)
     contract = _contract(chosen)
+    expected = chosen.expected and spark.createDataFrame([(m,) for m in chosen.expected], "delivery_month string")
     if chosen.command == "inventory":
         rows = inventory_files(spark, open_feed(spark, deliveries)).orderBy("delivery_month").collect()
         print(json.dumps([r.asDict() for r in rows], indent=2))
     elif chosen.command == "reload-test":
-        first, second = reload_test(spark, deliveries, chosen.tokens, chosen.out, contract)
+        first, second = reload_test(spark, deliveries, chosen.tokens, chosen.out, contract, expected)
         print(json.dumps({"first": first.asDict(), "second": second.asDict()}, indent=2, default=str))
     else:
-        expected = chosen.expected and spark.createDataFrame([(m,) for m in chosen.expected], "delivery_month string")
-        built = build(spark, deliveries, chosen.tokens, chosen.out, contract, expected)
+        built = build(spark, deliveries, chosen.tokens, chosen.out, contract, expected, isolate=chosen.isolate)
         if chosen.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{chosen.database}`")
             register(spark, built, chosen.database, deliveries, chosen.tokens)

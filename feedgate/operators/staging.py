@@ -14,17 +14,12 @@ from feedgate.functions.casts import as_text, contracted
 from feedgate.functions.columns import physical_format, row_hash
 
 
-def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by name, whatever its case; absent columns become NULL and mixed types become text.
-
-    A column keeps the spelling it has in the first frame that holds it.
-    Columns are aligned before the union because Spark would otherwise coerce text to a number and
-    fail on the first value that is not one.
-    """
+def alignment(schemas: Sequence[T.StructType]) -> tuple[dict[str, str], set[str]]:
+    """The spelling of every column by its lower-case name, in order of appearance, and the names of mixed types."""
     types: dict[str, set[T.DataType]] = {}
     spelling: dict[str, str] = {}
-    for frame in frames:
-        for field in frame.schema.fields:
+    for schema in schemas:
+        for field in schema.fields:
             types.setdefault(field.name.lower(), set()).add(field.dataType)
             spelling.setdefault(field.name.lower(), field.name)
     mixed = {
@@ -32,6 +27,17 @@ def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
         for name, seen in types.items()
         if len(seen) > 1 and not all(isinstance(t, T.NumericType) for t in seen)
     }
+    return spelling, mixed
+
+
+def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by name, whatever its case; absent columns become NULL and mixed types become text.
+
+    A column keeps the spelling it has in the first frame that holds it.
+    Columns are aligned before the union because Spark would otherwise coerce text to a number and
+    fail on the first value that is not one.
+    """
+    spelling, mixed = alignment([frame.schema for frame in frames])
 
     def aligned(frame: DataFrame) -> DataFrame:
         def column(field: T.StructField):

@@ -26,12 +26,14 @@ class FeedPlan:
         contract: FeedContract,
         keep: Keep,
         ingested_at: Column,
+        issues: DataFrame | None = None,
     ):
         self.staged = staged
         self.graph = graph
         self.expected = expected
         self.contract = contract
         self.ingested_at = ingested_at
+        self.issues = issues
         self._keep = keep
 
     @cached_property
@@ -63,7 +65,7 @@ class FeedPlan:
 
     @cached_property
     def decisions(self) -> DataFrame:
-        reasons = gate.gate_reasons(self.expected, self.results, self.conflicts)
+        reasons = gate.gate_reasons(self.expected, self.results, self.conflicts, self.issues)
         return self._keep("promotion_decisions", gate.promotion_decisions(reasons, self.contract))
 
     @cached_property

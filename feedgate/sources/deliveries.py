@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedgate.functions.columns import DELIVERY_NAME
 from feedgate.operators.staging import union_deliveries
@@ -62,33 +68,97 @@ def expected_deliveries(spark: SparkSession, deliveries: Sequence[Delivery]) ->
     return spark.createDataFrame([(m,) for m in months], "delivery_month string")
 
 
+# The text of a row with more or fewer fields than its header, where such rows are kept.
+REJECTED = "_rejected"
+
+
+def delimited_options(sep: str = "|", multiline: bool = False, rejects: bool = False) -> dict[str, str]:
+    """How delimited text is read, by the readers and by the catalog alike."""
+    options = {
+        "sep": sep,
+        "header": "true",
+        "inferSchema": "false",
+        "quote": '"',
+        "escape": '"',
+        "enforceSchema": "false",
+        "columnPruning": "false",
+        "mode": "PERMISSIVE" if rejects else "FAILFAST",
+        "multiLine": str(multiline).lower(),
+    }
+    return options | ({"columnNameOfCorruptRecord": REJECTED} if rejects else {})
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str = "|", multiline: bool = False) -> DataFrame:
     """Header line, every column text, doubled quotes inside quoted fields.
 
     Nothing is shifted, cut or padded: a part file whose header differs from the first one fails the read, and
     so does a row with more or fewer fields than the header. Whole rows are parsed for that, whatever is selected.
     """
-    reader = spark.read.option("columnPruning", "false")
-    return reader.csv(
-        path, sep=sep, header=True, inferSchema=False, quote='"', escape='"', enforceSchema=False, mode="FAILFAST",
-        multiLine=multiline,
-    )
+    return spark.read.options(**delimited_options(sep, multiline)).csv(path)
 
 
-def read_parquet_delivery(spark: SparkSession, path: str) -> DataFrame:
-    """Whatever the vendor wrote, with the columns of all part files.
+def read_delimited_rows(spark: SparkSession, path: str, sep: str = "|", multiline: bool = False) -> DataFrame:
+    """``read_delimited`` that keeps rows with more or fewer fields: their text is in ``_rejected``, NULL for others.
 
-    Parts whose types differ are read one schema at a time and put together by name.
+    Spark does not read the rejected text alone from files; write the rows first.
+    """
+    header = read_delimited(spark, path, sep, multiline).schema
+    fields = T.StructType([*header.fields, T.StructField(REJECTED, T.StringType())])
+    return spark.read.options(**delimited_options(sep, multiline, rejects=True)).schema(fields).csv(path)
+
+
+def _layout(path: str) -> str | None:
+    """The columns and types in the footer of a part file; None where it cannot be read from a task."""
+    uri = re.sub("^file:/+", "file:///", path)
+    try:
+        store, name = fs.FileSystem.from_uri(uri)
+        with store.open_input_file(name) as file:
+            return pq.read_schema(file).remove_metadata().to_string(show_field_metadata=False)
+    except (pa.ArrowException, OSError, ValueError):
+        return None
+
+
+def _layouts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        yield part.assign(layout=[_layout(path) for path in part["path"]])
+
+
+def schema_groups(spark: SparkSession, path: str) -> list[tuple[T.StructType, list[str]]]:
+    """The part files of a Parquet delivery by schema, in the order of their names.
+
+    Footers are read in tasks and grouped by what they say; the driver reads one of each group. Only files that
+    tasks cannot open by themselves are read by the driver one by one.
     """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    read = listed.mapInPandas(_layouts, "path string, layout string")
+    found = read.groupBy("layout").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
+    groups: dict[str, list[str]] = {}
+    for row in found:
+        for files in [row.files] if row.layout is not None else [[f] for f in row.files]:
+            groups.setdefault(spark.read.parquet(files[0]).schema.json(), []).extend(files)
+    ordered = sorted(groups.items(), key=lambda group: min(group[1]))
+    return [(T.StructType.fromJson(json.loads(schema)), sorted(files)) for schema, files in ordered]
+
+
+def merged_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """One schema with the columns of all part files; None where their types cannot be merged."""
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
     except (PySparkException, Py4JJavaError) as error:
         if MIXED_PARTS not in str(error):
             raise
-    parts: dict[str, list[str]] = {}
-    for part in spark.read.parquet(path).inputFiles():
-        parts.setdefault(spark.read.parquet(part).schema.json(), []).append(part)
-    return union_deliveries([spark.read.parquet(*same) for same in parts.values()])
+        return None
+
+
+def read_parquet_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """Whatever the vendor wrote, with the columns of all part files.
+
+    Parts whose types differ are read one schema at a time and put together by name.
+    """
+    schema = merged_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return union_deliveries([spark.read.schema(s).parquet(*files) for s, files in schema_groups(spark, path)])
 
 
 def read_physical(spark: SparkSession, delivery: Delivery) -> DataFrame:
