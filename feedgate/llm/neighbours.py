@@ -7,15 +7,15 @@ and, inside a cell, into the leaves of a full kd-tree. A query walks leaves in o
 distance, computes exact cosines, and stops at a leaf so far that a nearer vector than its k-th best would lie
 there with probability below 1 - CONFIDENCE by the chi-square law.
 
-A first round searches each query's own cell for a bound on the distance; a second one sends the query to all
-other cells the test does not rule out. All rows are indexed, cells are dealt in blocks of bounded size, and
+A first round searches each query's own cell for a bound on the distance; a second one walks the tree of the cells' bounds
+from its root and sends the query to those other cells the test does not rule out. All rows are indexed, cells are dealt in blocks of bounded size, and
 the results of the blocks are merged by rank.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without ``vec_id``,
 take no part. Vectors of different length are never neighbours. Equal vectors are searched once: only the
 k + 1 smallest ids of a vector can be among anyone's nearest, as ties go to smaller ids. Repeated rows count
 once. A ``vec_id`` with several vectors keeps them all as candidates, and is searched with its smallest vector. Extra
-columns are not read. With fewer than k candidates all are returned.
+columns are not read. With fewer than k candidates all are returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ EVERY = 50
 SEED = 7
 SAMPLE = 4096
 CELL_ROWS = 4096
+MOST_CELLS = 1 << 16
 LEAF = 64
 QUERY_BLOCK = 512
 
@@ -54,6 +55,8 @@ def projection(size: int) -> np.ndarray:
 
 def _unit(vectors: pd.Series) -> np.ndarray:
     rows = np.stack([np.asarray(v, np.float64) for v in vectors])
+    # By a power of two, so exactly: the squares of very small or large components would be zero or infinite.
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
@@ -97,6 +100,46 @@ def cell_of(tree: list, points: np.ndarray) -> np.ndarray:
     return out
 
 
+class Boxes:
+    """The cells of one kd-tree with the bounds of the rows they hold, and of every branch above them.
+
+    One row per cell, of which there are MOST_CELLS at most.
+    """
+
+    def __init__(self, tree: list, cells: np.ndarray, low: np.ndarray, high: np.ndarray):
+        self.tree = tree
+        self.at = {int(c): i for i, c in enumerate(cells)}
+        self.low, self.high = low, high
+        self.branches: dict[int, tuple[np.ndarray, np.ndarray] | None] = {}
+        for branch in range(len(tree) - 1, -1, -1):  # children come after their branch
+            sides = [b for child in tree[branch][2:] if (b := self.bounds(child)) is not None]
+            self.branches[branch] = tuple(f(np.stack(x), axis=0) for f, x in zip((np.min, np.max), zip(*sides, strict=True), strict=True)) if sides else None
+
+    def bounds(self, node: int) -> tuple[np.ndarray, np.ndarray] | None:
+        if node >= 0 and self.tree:
+            return self.branches[node]
+        i = self.at.get(-node - 1 if self.tree else 0)
+        return None if i is None else (self.low[i], self.high[i])
+
+    def within(self, point: np.ndarray, bound: float, home: int) -> list[int]:
+        """Cells but the home one that a nearer vector than ``bound`` may lie in, by the chi-square law; nearest branches alone are opened."""
+        near = math.inf if math.isnan(bound) else max(2 - 2 * bound, 1e-30)
+        found, todo = [], [0]
+        while todo:
+            node = todo.pop()
+            box = self.bounds(node)
+            if box is None:
+                continue
+            gap = np.maximum(np.maximum(box[0] - point, point - box[1]), 0)
+            if chi_square(float(gap @ gap) / near) > CONFIDENCE:
+                continue
+            if node >= 0 and self.tree:
+                todo += self.tree[node][2:]
+            elif (cell := -node - 1 if self.tree else 0) != home:
+                found.append(cell)
+        return found
+
+
 def leaves(points: np.ndarray) -> list[np.ndarray]:
     """Rows of the leaves of a kd-tree with median splits."""
     done, todo = [], [np.arange(len(points))]
@@ -189,7 +232,7 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY) -> DataFra
     for size, count in counts.items():
         sample = base.where(F.col("size") == size).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector")
         points = _unit(sample.toPandas()["vector"]) @ projection(size)
-        boxes[size] = min(1 << 16, max(1, 2 ** round(math.log2(max(1, count / CELL_ROWS)))))
+        boxes[size] = min(MOST_CELLS, max(1, 2 ** round(math.log2(max(1, count / CELL_ROWS)))))
         trees[size] = splits(points, boxes[size])
     handle = spark.sparkContext.broadcast(trees)
 
@@ -237,17 +280,24 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY) -> DataFra
     def projected(part: pd.Series) -> pd.Series:
         return pd.Series([list(_unit(pd.Series([v]))[0] @ projection(len(v))) for v in part])
 
-    limits = keep("limits", base.withColumn("p", projected("vector")).groupBy("size", "cell").agg(*box).join(sizes, ["size", "cell"]))
-    away = "+".join(f"pow(greatest(low{i} - p[{i}], p[{i}] - high{i}, 0), 2)" for i in range(M))
+    # A row per cell, MOST_CELLS of them at most for each vector length.
+    limits = base.withColumn("p", projected("vector")).groupBy("size", "cell").agg(*box).toPandas()
+    found = {}
+    for size, rows_of in limits.groupby("size"):
+        low, high = (rows_of[[f"{side}{i}" for i in range(M)]].to_numpy(float) for side in ("low", "high"))
+        found[int(size)] = Boxes(trees.get(int(size), []), rows_of["cell"].to_numpy(), low, high)
+    walk = spark.sparkContext.broadcast(found)
+
+    @F.pandas_udf("array<long>")
+    def reached(points: pd.Series, sizes: pd.Series, bounds: pd.Series, homes: pd.Series) -> pd.Series:
+        each = zip(points, sizes, bounds.astype(float), homes, strict=True)
+        return pd.Series([walk.value[int(size)].within(np.asarray(p, float), bound, int(home)) for p, size, bound, home in each], dtype=object)
+
     others = (
         asked.join(bound, "vec_id", "left")
         .withColumn("p", projected("vector"))
-        .join(limits, "size")
-        .where("cell <> home")
-        .withColumn("away", F.expr(away))
-        .withColumn("x", F.expr("case when bound is null then 0 else away / greatest(2 - 2 * bound, 1e-30) / 2 end"))
-        .withColumn("law", F.expr("1 - exp(-least(x, 700)) * (1 + x + x * x / 2 + x * x * x / 6)"))
-        .where(F.col("law") <= CONFIDENCE)
+        .withColumn("cell", F.explode(reached("p", "size", "bound", "home")))
+        .join(sizes, ["size", "cell"])
         .withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     )
     second = blocks(placed, keep("others", others.select("size", "cell", "block", "part", "vec_id", "vector", "bound")))
