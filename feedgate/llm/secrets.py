@@ -3,10 +3,13 @@
 Three base kinds are plain patterns. Beyond them, runs of base64 or hex characters, PEM blocks and dotted
 tokens are only candidates: they are decoded, and reported when the decoded bytes are a private key (DER
 with nested lengths that fill it exactly, or an OpenSSH key with its length-prefixed fields) or when the
-header of a signed token is a JSON object that names an algorithm. Base64 wrapped over lines is joined first.
+header of a signed token is a JSON object that names an algorithm. Base64 wrapped over lines is joined first, as far as
+the key itself says it reaches. PEM blocks may have their line ends escaped, their lines quoted and joined as in
+source code, and the header lines of the older encrypted form.
 
 Defined results: null or empty text has no spans. Rows are scanned one by one, so repeated rows repeat
-their result, and other columns are not read. Texts are scanned whole. Positions are code points.
+their result, and other columns are not read. Texts are scanned whole. Positions are code points. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches
+
 # The order of kinds at the same start, and the base patterns.
 KINDS = ("assign", "access", "hex", "pem", "key64", "keyhex", "token")
 ASSIGN = re.compile(
@@ -32,7 +39,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]*(?:-(?!----)[^-]*)*)-----END \1-----")
+# How the lines of a PEM block are written inside other text: escaped ends, quotes, commas, joined by a plus or a backslash.
+ESCAPED_END = re.compile(r"\\+[rnt]")
+JOINED = re.compile(r"""["']\s*[+.,;\\]?\s*["']|["',;\\]""")
+# The header lines of an encrypted key in the older form.
+ENCRYPTED = re.compile(r"\s*Proc-Type:\s*4\s*,\s*ENCRYPTED\s+DEK-Info:\s*[A-Z0-9-]+\s*,\s*((?:[0-9A-Fa-f]{16}){1,2})\s+")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
@@ -46,8 +58,6 @@ OPENSSH = b"openssh-key-v1\0"
 _RUN = np.zeros(256, bool)
 _RUN[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-", np.uint8)] = True
 LONG_RUN = 20
-# Lines looked at for one key: far more than the largest keys have.
-MOST_LINES = 2000
 
 
 def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -137,48 +147,84 @@ def _tokens(text: str) -> Iterator[tuple[int, int]]:
             yield m.start(), done
 
 
-def _openssh_size(data: bytes) -> int:
-    """Bytes of the key at the start of the data: three fields, the public keys, the private part."""
-
-    def after(at: int, fields: int) -> int:
-        for _ in range(min(fields, len(data))):
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return at
+def pem_key(body: str) -> bool:
+    """Whether what stands between the lines of a PEM block is a key."""
+    plain = ESCAPED_END.sub("\n", body)
+    sealed = ENCRYPTED.match(JOINED.sub(lambda m: "," if m[0] == "," else " ", plain))
+    if sealed:
+        # The blocks of the cipher are as long as its start value.
+        data = _decoded(JOINED.sub("", plain.split(sealed[1], 1)[1]))
+        return bool(data) and len(data) % (len(sealed[1]) // 2) == 0
+    return _is_key(_decoded(JOINED.sub("", plain)))
 
-    at = after(len(OPENSSH), 3)
-    return after(at + 4, int.from_bytes(data[at : at + 4], "big") + 1)
 
+def _openssh_size(data: bytes, most: int) -> tuple[int, bool]:
+    """Bytes of the key at the start of the data (three fields, the public keys, the private part), and whether they are known.
 
-def _wrapped_end(lines: list[re.Match]) -> int:
-    """How many of the lines the key that begins with the first one takes, or 0."""
-    text = lines[0][0]
-    if text.startswith("b3BlbnNzaC1rZXktdjE"):
-        whole = "".join(x[0].rstrip("=") for x in lines)
-        total = _openssh_size(_decoded(whole[: len(whole) // 4 * 4]) or b"")
-    else:
-        head = _decoded(text[:8]) if text.startswith("M") else None
-        size = head[1] & 0x7F if head and head[1] & 0x80 else 0
-        if not head or head[0] != 0x30 or size > 4:
+    Without enough data the number is how many bytes must be looked at; beyond ``most`` there is no such key.
+    """
+    at, fields, counted = len(OPENSSH), 3, False
+    while at <= most:
+        if at + 4 > len(data):
+            return max(at + 4, len(data) + 1), False
+        value = int.from_bytes(data[at : at + 4], "big")
+        if fields:
+            at, fields = at + 4 + value, fields - 1
+        elif counted:
+            break
+        else:
+            at, fields, counted = at + 4, value + 1, True
+        if counted and not fields:
+            return at, True
+    return most + 1, True
+
+
+class _Lines:
+    """The lines of a stretch of wrapped base64, and how many characters stand before each."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.lines = list(LINE.finditer(text, start, end))
+        self.before = [0, *accumulate(len(x[0].rstrip("=")) for x in self.lines)]
+
+    def bytes_from(self, at: int, size: int) -> bytes:
+        """At least ``size`` bytes from a line on, or all there are."""
+        end = bisect_left(self.before, self.before[at] - (-size * 4 // 3) + 4, at + 1)
+        whole = "".join(x[0].rstrip("=") for x in self.lines[at:end])
+        return _decoded(whole[: len(whole) // 4 * 4]) or b""
+
+    def key_end(self, at: int) -> int:
+        """The line behind the key that begins with a line, or 0: it ends where a line ends."""
+        text, rest = self.lines[at][0], (self.before[-1] - self.before[at]) * 3 // 4
+        if text.startswith("b3BlbnNzaC1rZXktdjE"):
+            total, known = 256, False
+            while not known:
+                data = self.bytes_from(at, 2 * total)
+                total, known = _openssh_size(data, rest)
+                if not known and total > rest:
+                    return 0
+        else:
+            head = _decoded(text[:8]) if text.startswith("M") else None
+            size = head[1] & 0x7F if head and head[1] & 0x80 else 0
+            if not head or head[0] != 0x30 or size > 4:
+                return 0
+            total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+        if total > rest:
             return 0
-        total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
-    left = -(-total * 4 // 3)
-    for n, line in enumerate(lines, 1):
-        left -= len(line[0].rstrip("="))
-        if left <= 0:
-            return n if left == 0 else 0
-    return 0
+        stop = self.before[at] - (-total * 4 // 3)
+        end = bisect_left(self.before, stop, at + 1)
+        return end if end < len(self.before) and self.before[end] == stop else 0
 
 
 def _wrapped(text: str) -> Iterator[tuple[int, int]]:
     """Keys in base64 over several lines."""
     for m in WRAPPED.finditer(text):
-        lines = list(LINE.finditer(text, m.start(), m.end()))
-        at = 0
+        found = _Lines(text, m.start(), m.end())
+        lines, at = found.lines, 0
         while at < len(lines):
-            n = _wrapped_end(lines[at : at + MOST_LINES])
-            if n > 1 and _is_key(_decoded("".join(x[0] for x in lines[at : at + n]))):
-                yield lines[at].start(), lines[at + n - 1].end()
-                at += n
+            end = found.key_end(at)
+            if end > at + 1 and _is_key(_decoded("".join(x[0] for x in lines[at:end]))):
+                yield lines[at].start(), lines[end - 1].end()
+                at = end
             else:
                 at += 1
 
@@ -190,7 +236,7 @@ def spans(text: str, runs: bool = True) -> list[tuple[int, int, int]]:
     if any(w in low for w in WORDS_OF_ASSIGN):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "-----BEGIN " in text:
-        found += [(m.start(), 3, m.end()) for m in PEM.finditer(text) if _is_key(_decoded(m[2]))]
+        found += [(m.start(), 3, m.end()) for m in PEM.finditer(text) if pem_key(m[2])]
     if runs:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -243,6 +289,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def secret_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, spans`` (kind, start, end) for every row of ``docs(doc_id, text)``."""
+    bounded_batches(docs.sparkSession)
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return text.mapInArrow(_scan, SCHEMA.format(kind=text.schema["doc_id"].dataType.simpleString()))
 
