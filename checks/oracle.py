@@ -394,10 +394,60 @@ SELECTS["rejected_rows"] = f"""
 SELECTS["catalog_drift"] = SELECTS["drifting_parts"]
 
 
+# The feed with text that fits no type and lines without claim; conflicts do not block, and more is warned of.
+SPOILT = f"""
+    SELECT * REPLACE (if(claim_line = '6', NULL, claim_id) AS claim_id,
+                      if(claim_line = '5', 'n/a', allowed_amount) AS allowed_amount,
+                      if(claim_line = '4', ' ', paid_date) AS paid_date,
+                      if(claim_line = '3', 'one', units) AS units)
+    FROM ({RAW_CLAIMS.format(**TABLES)})"""
+
+
+def _failed(column: str) -> str:
+    sql_type = next(t for t, columns in TYPES.items() if column in columns)
+    return f"(NOT {_empty(column)} AND TRY_CAST({column} AS {sql_type}) IS NULL)"
+
+
+def _any_failed(columns) -> str:
+    return " OR ".join(f"{c}_failed" for c in columns)
+
+
+REPEATED = "SELECT (claim_id, claim_line) FROM lines WHERE claim_id || claim_line IS NOT NULL GROUP BY ALL HAVING count(*) > 1"
+SHARED = "SELECT member_token FROM lines WHERE member_token IS NOT NULL GROUP BY ALL HAVING count(DISTINCT patient_id) > 1"
+FAILURES = ", ".join(f"{_failed(c)} AS {c}_failed" for c in C.cast_columns)
+EXTENDED_STEPS = STEPS | {
+    "raw_claims": SPOILT,
+    "typed": STEPS["typed"].replace("FROM raw_claims", f", {FAILURES} FROM raw_claims"),
+    "decisions": STEPS["decisions"].replace("'SAME_MONTH_CONFLICT'", "'-'"),
+    "warned": f"""
+        SELECT w.* REPLACE (concat_ws('|', nullif(warnings, ''),
+                   if({_any_failed(C.date_columns)}, 'DATE_FAIL', NULL),
+                   if({_any_failed(C.money_columns)}, 'MONEY_FAIL', NULL),
+                   if((claim_id, claim_line) IN ({REPEATED}), 'GLOBAL_KEY_DUP', NULL),
+                   if(member_token IN ({SHARED}), 'TOKEN_PATIENT_AMBIGUOUS', NULL))
+               AS warnings)
+        FROM ({STEPS['warned']}) w""",
+}
+EXTENDED = {
+    "cast_failures": f"""
+        SELECT _delivery_month, count(*) AS total_rows, {", ".join(f"count_if({c}_failed) AS {c}_failed" for c in C.cast_columns)}
+        FROM typed GROUP BY ALL""",
+    "extended_disposition": f"SELECT {KEY}, _delivery_month, _row_hash, _dq_status, _dq_reasons FROM disposed",
+    "extended_reconciliation": "SELECT * FROM reconciled",
+    "incomplete_keys": """
+        SELECT d._delivery_month, count(*) AS incomplete_rows, count_if(d.dup_rank > 1) AS replayed_rows,
+               count_if(d.dup_rank = 1)
+               - (SELECT count(*) FROM latest l WHERE l._delivery_month = d._delivery_month
+                  AND (l.claim_id IS NULL OR l.claim_line IS NULL)) AS collapsed_rows
+        FROM deduped d WHERE d.claim_id IS NULL OR d.claim_line IS NULL GROUP BY d._delivery_month""",
+}
+
+
 def _chain(steps: dict[str, str]) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in steps.items())
 
 
 def oracle_sql() -> dict[str, str]:
     found = {key: f"{_chain(STEPS)}\n{select}" for key, select in SELECTS.items()}
+    found |= {key: f"{_chain(EXTENDED_STEPS)}\n{select}" for key, select in EXTENDED.items()}
     return found | {"isolated_decisions": f"{_chain(STEPS | {'raw_claims': DAMAGED})}\n{ISOLATED}"}

@@ -7,7 +7,7 @@ all queries read them from there. The stages several queries build on are kept n
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pandas as pd
@@ -41,6 +41,7 @@ class Feed:
     plan: FeedPlan
     drifted: list[source.Delivery] = field(default_factory=list)
     arrivals: arrivals.Arrivals | None = None
+    extended: FeedPlan | None = None
 
 
 _feeds: dict[tuple[str, str], Feed] = {}
@@ -355,6 +356,49 @@ def quarantine(f: Feed) -> DataFrame:
     return published(disposition.quarantine(f.plan.held, f.plan.contract, f.plan.ingested_at))
 
 
+def extended(f: Feed) -> FeedPlan:
+    """The feed with text that fits no type and lines without claim, under extended warnings; conflicts do not block."""
+    if f.extended is None:
+        blocking = tuple(r for r in f.plan.contract.blocking_reasons if r != "SAME_MONTH_CONFLICT")
+        spoilt = {
+            "claim_id": F.expr("if(claim_line = '6', NULL, claim_id)"),
+            "allowed_amount": F.expr("if(claim_line = '5', 'n/a', allowed_amount)"),
+            "paid_date": F.expr("if(claim_line = '4', ' ', paid_date)"),
+            "units": F.expr("if(claim_line = '3', 'one', units)"),
+        }
+        f.extended = FeedPlan(
+            staged=f.plan.staged.withColumns(spoilt),
+            graph=f.plan.graph,
+            expected=f.plan.expected,
+            contract=replace(f.plan.contract, extended_warnings=True, blocking_reasons=blocking),
+            keep=lambda name, df, partition=None: f.work.keep(f"extended_{name}", df, partition),
+            ingested_at=f.plan.ingested_at,
+        )
+    return f.extended
+
+
+@query
+def cast_failures(f: Feed) -> DataFrame:
+    return measures.cast_failures(extended(f).identified, extended(f).contract)
+
+
+@query
+def extended_disposition(f: Feed) -> DataFrame:
+    """Failed casts, repeated keys and tokens of several patients as warnings; conflicts held line by line."""
+    return extended(f).disposed.select(*KEYS, "_delivery_month", "_row_hash", "_dq_status", "_dq_reasons")
+
+
+@query
+def extended_reconciliation(f: Feed) -> DataFrame:
+    return extended(f).reconciliation
+
+
+@query
+def incomplete_keys(f: Feed) -> DataFrame:
+    """Lines without claim share a key: which of them are replays, and which are lost to another line."""
+    return extended(f).incomplete_keys
+
+
 # Versions
 
 

@@ -97,6 +97,8 @@ class FeedContract:
 
     required_columns: tuple[str, ...] = ("claim_id", "claim_line", "date_of_service", "charge_amount")
     blocking_reasons: tuple[str, ...] = (*BLOCKING_REASONS, "REJECTED_ROWS")
+    # Also warn of dates and amounts that are no such, repeated keys and tokens of several patients.
+    extended_warnings: bool = False
 
     def type_of(self, column: str) -> T.DataType:
         """The contracted type of one column."""
@@ -108,6 +110,12 @@ class FeedContract:
             return T.DateType()
         return T.StringType()
 
+    @property
+    def cast_columns(self) -> list[str]:
+        """The columns whose text can fail to be their type, in contracted order; bit i of ``_misfits`` is the i-th."""
+        typed = (*self.integer_columns, *self.money_columns, *self.date_columns)
+        return [c for c in self.columns if c in typed]
+
     @property
     def conflicts_block(self) -> bool:
         """Whether a conflicting key stops its delivery, so that no loaded row can be in conflict."""

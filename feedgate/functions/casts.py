@@ -54,6 +54,11 @@ def safe_date(text: Column) -> Column:
     return F.when(iso, text.try_cast("date")).otherwise(rewritten.try_cast("date"))
 
 
+def misfit(column: Column, physical: T.DataType, typed: Column) -> Column:
+    """Whether something was sent (not blank) that is not of its contracted type."""
+    return typed.isNull() & (F.trim(as_text(column, physical)) != "")
+
+
 def contracted(column: Column, physical: T.DataType, target: T.DataType) -> Column:
     """Cast a column of any physical type to its contracted type, through text."""
     if isinstance(target, T.DateType) and isinstance(

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Fixed value: a delivery is named claims_YYYYMM.
 DELIVERY_NAME = r"claims_(\d{4})(\d{2})"
 
+# The unique number of an accepted line, by which slim tables find their way back to it.
+LINE_ID = "_line_id"
+
 
 def delivery_key(path: Column) -> Column:
     """'YYYY-MM' from a delivery path, 'unknown' when the name carries no month."""

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedgate.contract import FeedContract
-from feedgate.functions.columns import blank
+from feedgate.functions.columns import LINE_ID, blank
+
+# Bits of ``_marks``: what the other lines of the feed say against a line.
+CONFLICT, KEY_DUP, PATIENT_AMBIGUOUS = 1, 2, 4
 
 
 def warning_codes(contract: FeedContract) -> Column:
-    """All warnings of a line in fixed order, joined with '|'; empty when there is none."""
+    """All warnings of a line in fixed order, joined with '|'; empty when there is none.
+
+    Extended warnings read the bit masks ``_misfits`` and ``_marks`` of the line.
+    """
     is_reversal = (F.col("claim_freq_code") == contract.reversal_code) & F.col(
         "original_claim_id"
     ).isNotNull()
@@ -25,24 +34,64 @@ def warning_codes(contract: FeedContract) -> Column:
         "DATE_ORDER_INVALID": F.col("date_of_service") > F.col("paid_date"),
         "NEGATIVE_CHARGE_INVALID": (F.col("charge_amount") < 0) & ~is_reversal,
     }
+    if contract.extended_warnings:
+        raised |= {
+            "DATE_FAIL": _has("_misfits", _bits(contract, contract.date_columns)),
+            "MONEY_FAIL": _has("_misfits", _bits(contract, contract.money_columns)),
+            "GLOBAL_KEY_DUP": _has("_marks", KEY_DUP),
+            "TOKEN_PATIENT_AMBIGUOUS": _has("_marks", PATIENT_AMBIGUOUS),
+        }
     return F.concat_ws("|", *[F.when(test, F.lit(code)) for code, test in raised.items()])
 
 
-def hold(
-    lines: DataFrame, contract: FeedContract, conflicts: DataFrame | None = None
+def _bits(contract: FeedContract, columns: Sequence[str]) -> int:
+    return sum(1 << i for i, c in enumerate(contract.cast_columns) if c in columns)
+
+
+def _has(mask: str, bits: int) -> Column:
+    return F.col(mask).bitwiseAND(F.lit(bits)) != 0
+
+
+def line_marks(
+    lines: DataFrame,
+    contract: FeedContract,
+    conflicts: DataFrame | None = None,
+    key_dupes: DataFrame | None = None,
+    patient_tokens: DataFrame | None = None,
 ) -> DataFrame:
+    """What other lines say against a line: ``_line_id`` and the bit mask ``_marks``, for marked lines only.
+
+    Each issue table holds a key or a token once, so a join never multiplies lines, and slim lines are all that is
+    shuffled. Read from written tables, a small issue table is broadcast by its real size and the lines of a hot
+    key or token are split otherwise. Incomplete keys and null tokens match nothing.
+    """
+    found = []
+
+    def mark(issues: DataFrame | None, on: list[str], bit: int) -> None:
+        if issues is not None:
+            hit = lines.select(LINE_ID, *on).join(issues.select(*on), on, "left_semi")
+            found.append(hit.select(LINE_ID, F.lit(bit).alias("_mark")))
+
+    mark(conflicts, [*contract.line_key, "_delivery_month"], CONFLICT)
+    mark(key_dupes, list(contract.line_key), KEY_DUP)
+    mark(patient_tokens, ["member_token"], PATIENT_AMBIGUOUS)
+    return reduce(DataFrame.unionByName, found).groupBy(LINE_ID).agg(F.bit_or("_mark").alias("_marks"))
+
+
+def hold(lines: DataFrame, contract: FeedContract, marks: DataFrame | None = None) -> DataFrame:
     """Add ``_held_for``: why a line cannot be trusted, NULL for a line that can.
 
-    ``conflicts`` may be left out when conflicts block their delivery: no accepted line can match.
+    ``marks`` may be left out when conflicts block their delivery, as no accepted line can match, and no extended
+    warnings are asked for. It is best read from a written table, so that every consumer joins the same slim rows
+    on the unique line id: Spark broadcasts few, and spreads many evenly whatever the keys are.
     """
     ambiguous = F.when(F.col("_token_ambiguous"), F.lit("TOKEN_AMBIGUOUS"))
-    if conflicts is None:
-        return lines.withColumn("_held_for", ambiguous)
-    on = [*contract.line_key, "_delivery_month"]
-    marked = conflicts.select(*on, F.lit("SAME_MONTH_CONFLICT").alias("_conflict"))
-    return lines.join(marked, on, "left").select(
-        *lines.columns, F.coalesce(F.col("_conflict"), ambiguous).alias("_held_for")
-    )
+    if marks is None:
+        return lines.withColumns({"_marks": F.lit(0), "_held_for": ambiguous})
+    conflict = F.when(_has("_marks", CONFLICT), F.lit("SAME_MONTH_CONFLICT"))
+    marked = lines.join(marks.select(LINE_ID, "_marks"), LINE_ID, "left")
+    mask = F.coalesce(F.col("_marks"), F.lit(0)).alias("_marks")
+    return marked.select(*lines.columns, mask, F.coalesce(conflict, ambiguous).alias("_held_for"))
 
 
 def eligible(held: DataFrame) -> DataFrame:
@@ -61,7 +110,7 @@ def grade(held: DataFrame, contract: FeedContract) -> DataFrame:
     return (
         held.withColumn("_warnings", warning_codes(contract))
         .withColumns({"_dq_status": status, "_dq_reasons": reasons})
-        .drop("_held_for", "_warnings")
+        .drop("_held_for", "_warnings", "_marks")
     )
 
 
@@ -69,7 +118,8 @@ def row_disposition(
     lines: DataFrame, contract: FeedContract, conflicts: DataFrame | None = None
 ) -> DataFrame:
     """Every accepted line with its status and reasons."""
-    return grade(hold(lines, contract, conflicts), contract)
+    marks = None if conflicts is None else line_marks(lines, contract, conflicts)
+    return grade(hold(lines, contract, marks), contract)
 
 
 def quarantine(held: DataFrame, contract: FeedContract, ingested_at: Column) -> DataFrame:

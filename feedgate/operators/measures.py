@@ -105,6 +105,15 @@ def volume_band(measures: DataFrame, contract: FeedContract) -> DataFrame:
     )
 
 
+def cast_failures(lines: DataFrame, contract: FeedContract) -> DataFrame:
+    """Lines of each delivery whose text did not fit the type, one count per typed column."""
+    counts = [
+        F.count_if(F.col("_misfits").bitwiseAND(F.lit(1 << i)) != 0).alias(f"{c}_failed")
+        for i, c in enumerate(contract.cast_columns)
+    ]
+    return lines.groupBy("_delivery_month").agg(F.count(F.lit(1)).alias("total_rows"), *counts)
+
+
 def global_key_dupes(lines: DataFrame, contract: FeedContract) -> DataFrame:
     """Complete keys seen more than once: in how many deliveries, and in how many rows."""
     key = list(contract.line_key)

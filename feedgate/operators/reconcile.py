@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedgate.operators.versions import DROPPED
+from feedgate.contract import FeedContract
+from feedgate.operators.versions import DROPPED, earliest_copies
 
 
 def reconciliation(
@@ -39,6 +41,32 @@ def reconciliation(
     )
 
 
+def incomplete_keys(slim: DataFrame, latest: DataFrame, contract: FeedContract) -> DataFrame:
+    """Eligible lines of each delivery without a complete key, and what became of them.
+
+    Such lines share one key, so they replace each other: ``replayed_rows`` repeat content of an earlier copy, but
+    ``collapsed_rows`` are different lines that are lost to the one that was kept. Copies are found by content, which
+    spreads the lines of the shared key, and all three tables are counted in one aggregation.
+    """
+    partial = reduce(Column.__or__, [F.col(c).isNull() for c in contract.line_key])
+
+    def counted(rows: DataFrame, sent: int, distinct: int, kept: int) -> DataFrame:
+        marks = {"_sent": sent, "_distinct": distinct, "_kept": kept}
+        return rows.select("_delivery_month", *[F.lit(v).alias(name) for name, v in marks.items()])
+
+    lines = slim.where(partial)
+    every = (
+        counted(lines, 1, 0, 0)
+        .unionByName(counted(earliest_copies(lines, contract), 0, 1, 0))
+        .unionByName(counted(latest.where(partial), 0, 0, 1))
+    )
+    return every.groupBy("_delivery_month").agg(
+        F.sum("_sent").alias("incomplete_rows"),
+        (F.sum("_sent") - F.sum("_distinct")).alias("replayed_rows"),
+        (F.sum("_distinct") - F.sum("_kept")).alias("collapsed_rows"),
+    )
+
+
 def reconciliation_failures(reconciled: DataFrame) -> DataFrame:
     explained = F.col("silver_eligible_rows") + F.col("quarantine_rows") + F.col("deduplicated_rows")
     return reconciled.where((F.col("decision") != "BLOCK") & (F.col("raw_rows") != explained))

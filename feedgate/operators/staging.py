@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedgate.contract import FeedContract
-from feedgate.functions.casts import as_text, contracted
+from feedgate.functions.casts import as_text, contracted, misfit
 from feedgate.functions.columns import physical_format, row_hash
 
 
@@ -54,14 +54,20 @@ def union_deliveries(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def normalize(staged: DataFrame, contract: FeedContract) -> DataFrame:
-    """The contracted columns with safe casts, plus lineage; other vendor columns are dropped."""
+    """The contracted columns with safe casts, plus lineage; other vendor columns are dropped.
+
+    Under extended warnings ``_misfits`` is a bit mask of the columns whose text did not fit their type.
+    """
     physical = {f.name.lower(): f.dataType for f in staged.schema.fields}
-    typed = [
-        contracted(F.col(c), physical.get(c.lower(), T.StringType()), contract.type_of(c)).alias(c)
-        for c in contract.columns
+    sent = {c: physical.get(c.lower(), T.StringType()) for c in contract.columns}
+    typed = {c: contracted(F.col(c), sent[c], contract.type_of(c)) for c in contract.columns}
+    bits = [
+        F.when(misfit(F.col(c), sent[c], typed[c]), F.lit(1 << i)).otherwise(F.lit(0))
+        for i, c in enumerate(contract.cast_columns)
     ]
     return staged.select(
-        *typed,
+        *[column.alias(c) for c, column in typed.items()],
+        *([reduce(Column.bitwiseOR, bits).alias("_misfits")] if contract.extended_warnings else []),
         "_delivery_month",
         "_source_file",
         physical_format(F.col("_source_file")).alias("_physical_format"),

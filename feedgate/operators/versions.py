@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedgate.contract import FeedContract
-from feedgate.operators.disposition import grade
+from feedgate.functions.columns import LINE_ID
 from feedgate.functions.ranking import top_row
+from feedgate.operators.disposition import grade
 
-LINE_ID = "_line_id"
 DROPPED = "dropped"
 SUPERSEDED = "superseded"
 

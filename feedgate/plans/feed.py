@@ -72,10 +72,27 @@ class FeedPlan:
     def accepted(self) -> DataFrame:
         return identity.accepted(self.identified, self.decisions)
 
+    @cached_property
+    def key_dupes(self) -> DataFrame:
+        return self._keep("key_dupes", measures.global_key_dupes(self.identified, self.contract))
+
+    @cached_property
+    def patient_tokens(self) -> DataFrame:
+        return self._keep("patient_tokens", identity.token_patient_ambiguous(self.identified))
+
+    @cached_property
+    def marks(self) -> DataFrame | None:
+        """Lines that other lines speak against, once for all stages; none where the gate leaves nothing to mark."""
+        issues = {} if self.contract.conflicts_block else {"conflicts": self.conflicts}
+        if self.contract.extended_warnings:
+            issues |= {"key_dupes": self.key_dupes, "patient_tokens": self.patient_tokens}
+        if not issues:
+            return None
+        return self._keep("marks", disposition.line_marks(self.accepted, self.contract, **issues))
+
     @cached_property
     def held(self) -> DataFrame:
-        conflicts = None if self.contract.conflicts_block else self.conflicts
-        return disposition.hold(self.accepted, self.contract, conflicts)
+        return disposition.hold(self.accepted, self.contract, self.marks)
 
     @cached_property
     def disposed(self) -> DataFrame:
@@ -131,6 +148,10 @@ class FeedPlan:
         counted = reconcile.reconciliation(self.decisions, self.held, self.exceptions, self.silver)
         return self._keep("reconciliation", counted)
 
+    @cached_property
+    def incomplete_keys(self) -> DataFrame:
+        return reconcile.incomplete_keys(self.slim, self.latest, self.contract)
+
     @cached_property
     def totals(self) -> DataFrame:
         return reconcile.run_totals(self.silver, self.quarantine)
