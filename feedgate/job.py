@@ -45,6 +45,7 @@ def _arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--expected", nargs="+", metavar="YYYY-MM", help="the calendar; by default what is delivered")
     parser.add_argument("--multiline", action="store_true", help="delimited deliveries hold quoted line breaks")
     parser.add_argument("--isolate", action="store_true", help="block broken deliveries one by one instead of stopping")
+    parser.add_argument("--generations", type=int, default=0, help="switch all tables at once and keep so many builds")
     arguments = parser.parse_args(argv)
     if arguments.command != "inventory" and not (arguments.tokens and arguments.out):
         parser.error("--tokens and --out are needed to build")
@@ -71,7 +72,7 @@ def main(argv: Sequence[str]) -> None:
         first, second = reload_test(spark, deliveries, chosen.tokens, chosen.out, contract, expected)
         print(json.dumps({"first": first.asDict(), "second": second.asDict()}, indent=2, default=str))
     else:
-        built = build(spark, deliveries, chosen.tokens, chosen.out, contract, expected, isolate=chosen.isolate)
+        built = build(spark, deliveries, chosen.tokens, chosen.out, contract, expected, isolate=chosen.isolate, generations=chosen.generations)
         if chosen.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{chosen.database}`")
             register(spark, built, chosen.database, deliveries, chosen.tokens)

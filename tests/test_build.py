@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 
 from feedgate import FeedContract, job
 from feedgate.operators import reconcile, versions
-from feedgate.plans.build import AUDIT_TABLES, SILVER_TABLES, BuildCheckError, build, check, register, reload_test
+from feedgate.plans.build import (
+    AUDIT_TABLES,
+    SILVER_TABLES,
+    BuildCheckError,
+    build,
+    check,
+    current_build,
+    register,
+    reload_test,
+)
 from feedgate.plans.workspace import Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -286,3 +295,32 @@ def test_job_takes_contract_and_calendar(deliveries, spark, capsys, tmp_path):
     assert decided["2025-01"][0] != "BLOCK"
     assert decided["2025-07"] == ("BLOCK", ["EMPTY_DELIVERY"])
     assert decided["2025-09"][0] == "BLOCK" and "WRONG_FORMAT" in decided["2025-09"][1]
+
+
+def test_all_tables_are_switched_at_once(spark, deliveries, monkeypatch, tmp_path):
+    found, graph = deliveries
+    out = str(tmp_path / "out")
+    contract = fixture.contract(spark, SF_DIR)
+    with pytest.raises(FileNotFoundError):
+        current_build(spark, out)
+    first = build(spark, found[:1], graph, out, contract, generations=2)
+    before = {name: table.count() for name, table in first.tables.items()}
+    assert set(before) == {*SILVER_TABLES, *AUDIT_TABLES}
+
+    def fail(*_):
+        raise OSError("forced")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("feedgate.sinks.tables.point_to", fail)
+        with pytest.raises(OSError, match="forced"):
+            build(spark, found[:2], graph, out, contract, generations=2)
+    current = current_build(spark, out)
+    assert current.out == first.out and {n: t.count() for n, t in current.tables.items()} == before
+
+    second = build(spark, found[:2], graph, out, contract, generations=2)
+    current = current_build(spark, out)
+    assert current.out == second.out != first.out
+    assert {r.delivery_month for r in current.tables["inventory"].collect()} == {"2025-01", "2025-02"}
+    assert current.totals().first() == second.totals().first()
+    assert len(list((tmp_path / "out").glob("generation-*"))) == 2
+    assert not list((tmp_path / "out").glob("_staging*"))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pytest
-from conftest import explained
+from conftest import collected, explained
 from pyspark.sql import functions as F
 
 from feedgate import FeedContract
-from feedgate.operators import identity, measures, reconcile, versions
+from feedgate.operators import disposition, identity, measures, reconcile, versions
 from feedgate.plans.workspace import Workspace
 
 LINES = 4_000
@@ -123,6 +123,26 @@ def test_lines_of_a_hot_claim_are_split_in_the_join(spark, unbroadcast):
     assert "skew=true" in final_plan(found)
 
 
+def test_lines_of_a_hot_key_are_split_when_marked(spark, hot, unbroadcast):
+    """Slim lines meet the issue table, wide lines only their own ids."""
+    work = Workspace(spark, "marks")
+    dupes = work.keep("dupes", hot.select("claim_id", "claim_line").distinct())
+    found = disposition.line_marks(hot, FeedContract(), key_dupes=dupes)
+    marks = work.keep("marks", found)
+    assert marks.count() == LINES and marks.where(f"_marks <> {disposition.KEY_DUP}").isEmpty()
+    assert "skew=true" in final_plan(found)
+
+
+def test_consumers_of_marks_read_one_written_table(feed):
+    rows = [{}, {"claim_id": "B"}, {"claim_id": "B", "units": "2"}]
+    plan = feed(*rows, blocking_reasons=("EMPTY_DELIVERY",))
+    for df in (plan.held, plan.slim, plan.quarantine_lines):
+        text = explained(df)
+        assert "/marks" in text and "/conflicts" not in text
+    assert collected(plan.quarantine_lines, "claim_id", "_dq_reasons") == [("B", "SAME_MONTH_CONFLICT")] * 2
+    assert feed(*rows).marks is None
+
+
 def test_measures_take_one_shuffle(feed):
     plan = feed({})
     text = explained(measures.contract_measures(plan.identified, plan.contract))
