@@ -12,10 +12,14 @@ result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedgate.plans.workspace import Workspace
 
@@ -30,18 +34,28 @@ def hashed(*parts) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
-def poisson_table(rate: str) -> Column:
-    """The cumulative Poisson probabilities of 0, 1, 2, ... up to where a double no longer tells them from 1."""
-    return F.expr(
-        f"""case when {rate} <= 0 then array(1D) else aggregate(
-            sequence(1, cast(ceil({rate} + 12 * sqrt({rate}) + 30) as int)),
-            named_struct('p', -{rate}, 'sum', exp(-{rate}), 'all', array(exp(-{rate}))),
-            (s, k) -> named_struct(
-                'p', s.p + ln({rate} / k),
-                'sum', s.sum + exp(s.p + ln({rate} / k)),
-                'all', concat(s.all, array(s.sum + exp(s.p + ln({rate} / k))))),
-            s -> s.all) end"""
-    )
+def poisson_table(rate: float) -> tuple[int, np.ndarray]:
+    """The cumulative Poisson probabilities of ``first``, ``first + 1``, ... around the mean.
+
+    Twelve deviations and thirty to each side leave out less than a double tells from 0 or 1, so the table grows with the
+    root of the rate. Probabilities are carried as logarithms, so none of them underflows.
+    """
+    if not rate > 0:
+        return 0, np.ones(1)
+    reach = 12 * math.sqrt(rate) + 30
+    first = max(0, math.floor(rate - reach))
+    steps = np.log(rate / np.arange(first + 1, math.ceil(rate + reach) + 1))
+    least = first * math.log(rate) - rate - math.lgamma(first + 1)
+    return first, np.cumsum(np.exp(np.cumsum(np.concatenate([[least], steps]))))
+
+
+TABLE = T.StructType([T.StructField("first", T.LongType()), T.StructField("cumulative", T.ArrayType(T.DoubleType()))])
+
+
+@F.pandas_udf(TABLE)
+def poisson_tables(rate: pd.Series) -> pd.DataFrame:
+    """One table for each source."""
+    return pd.DataFrame([poisson_table(r) for r in rate], columns=["first", "cumulative"])
 
 
 def rates(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
@@ -73,14 +87,14 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, see
     by_name = {c.lower() for c in own}
     size = F.col("size") if "size" in by_name else F.coalesce(F.length(F.col("text").cast("string")), F.lit(0))
     table = rates(docs.select(F.col("source"), size.alias("size")), weights)
-    table = table.select(F.col("source").alias("of"), poisson_table("rate").alias("table"))
+    table = table.select(F.col("source").alias("of"), poisson_tables("rate").alias("table"))
     table = Workspace(spark, "mixing").keep("rates", table)
     rows = docs.select(F.struct(*quoted).alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"))
     uniform = hashed(F.lit(seed), F.col("id")) / F.lit(float(1 << 52))
     counted = (
         rows.join(table, F.col("from").eqNullSafe(F.col("of")))
         .withColumn("u", uniform)
-        .select("row", "id", F.expr("size(filter(table, x -> x <= u))").alias("copies"))
+        .select("row", "id", F.expr("int(table.first + size(filter(table.cumulative, x -> x <= u)))").alias("copies"))
         .where("copies > 0")
     )
     every = counted.select("row", "id", "copies", F.explode(F.expr("sequence(1, copies)")).alias("copy"))

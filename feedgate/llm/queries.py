@@ -36,9 +36,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """Whole documents are mixed; the size of each copy is measured afterwards."""
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
-    return mixing.mix_sources(docs.select("doc_id", "source", size.alias("size")))
+    return mixed.select("doc_id", "source", size.alias("size"), "copies", "copy", "shuffle_key")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,17 +78,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """Whole documents are placed; size and checksum are taken from the placed rows."""
+    placed = sharding.shard(_table(spark, sf_dir, "documents"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    measured = docs.select(
+    return placed.select(
         "doc_id",
-        "text",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    placed = sharding.shard(measured, columns=["doc_id", "size", "text_crc32"])
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
 
 

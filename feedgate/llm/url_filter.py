@@ -11,7 +11,8 @@ holds a day. Captures are first reduced to distinct (host, path) and day.
 
 Defined results: a null or unparsable URL, or a null fetch day, matches nothing (``action`` null). Of several
 entries of a rule on one day the strictest counts: block, then allow, then remove. Entries with a null rule,
-day or action are ignored. Repeated captures each get their result. Extra columns are not read. With an empty
+day or action are ignored. Repeated captures each get their Repeated captures each get their result. Of a very long host or path only
+as many labels and segments are looked at as the longest rule has. With an empty
 list nothing matches.
 """
 
@@ -49,16 +50,28 @@ def intervals(entries: DataFrame) -> DataFrame:
     return spans.where("order < 2").select("rule", action.alias("action"), "from_day", "to_day")
 
 
-def rules_of(host: str, path: str) -> Column:
-    """Every rule that would cover the URL: parent domains, and path prefixes of the host itself."""
+def rules_of(host: str, path: str, labels: str, segments: str) -> Column:
+    """Every rule that would cover the URL: parent domains, and path prefixes of the host itself.
+
+    Only as many host labels and path segments are looked at as the longest rule has, each once.
+    """
+    none = "cast(array() as array<string>)"
     return F.expr(
         f"""concat(
-            transform(sequence(1, size(split({host}, '[.]'))),
-                i -> array_join(slice(split({host}, '[.]'), i, 1000), '.')),
+            aggregate(slice(reverse(split({host}, '[.]')), 1, {labels}),
+                named_struct('at', '', 'rules', {none}),
+                (s, x) -> named_struct(
+                    'at', concat('.', x, s.at),
+                    'rules', concat(s.rules, array(concat(x, s.at)))),
+                s -> s.rules),
             case when {path} like '/%' then
-                transform(filter(sequence(1, size(split({path}, '/')) - 1), i -> split({path}, '/')[i] <> ''),
-                    i -> concat({host}, array_join(slice(split({path}, '/'), 1, i + 1), '/')))
-                else cast(array() as array<string>) end)"""
+                aggregate(slice(split({path}, '/'), 2, {segments}),
+                    named_struct('at', {host}, 'rules', {none}),
+                    (s, x) -> named_struct(
+                        'at', concat(s.at, '/', x),
+                        'rules', if(x = '', s.rules, concat(s.rules, array(concat(s.at, '/', x))))),
+                    s -> s.rules)
+                else {none} end)"""
     )
 
 
@@ -69,9 +82,6 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     rows = captures.select("page_id", url.alias("url"), F.col("fetch_day").cast("date").alias("fetch_day"))
     rows = rows.withColumn("host", host_of(url)).withColumn("path", path_of(url))
     asked = rows.where("host is not null and fetch_day is not null").select("host", "path", "fetch_day").distinct()
-    asked = asked.withColumn("rule", F.explode(rules_of("host", "path")))
-    period = F.floor(F.unix_date("fetch_day") / PERIOD_DAYS)
-    asked = asked.withColumn("period", period)
     last = captures.agg(F.max(F.col("fetch_day").cast("date")).alias("last"))
     spans = intervals(entries).crossJoin(F.broadcast(last)).where("from_day <= last")
     ends = F.least(F.coalesce(F.date_sub("to_day", 1), F.col("last")), F.col("last"))
@@ -85,6 +95,18 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
         ).alias("period"),
     )
     spans = keep("spans", spans)
+    # One row: the most labels and path segments of any rule bound what is made of a URL, however long it is.
+    most = spans.selectExpr(
+        "coalesce(max(size(split(substring_index(rule, '/', 1), '[.]'))), 0) as labels",
+        "coalesce(max(size(split(rule, '/')) - 1), 0) as segments",
+    )
+    asked = asked.crossJoin(F.broadcast(most)).select(
+        "host",
+        "path",
+        "fetch_day",
+        F.floor(F.unix_date("fetch_day") / PERIOD_DAYS).alias("period"),
+        F.explode(rules_of("host", "path", "labels", "segments")).alias("rule"),
+    )
     active = asked.join(spans, ["rule", "period"]).where("from_day <= fetch_day and (to_day is null or fetch_day < to_day)")
     longest = F.max_by(F.struct("rule", "action", "from_day"), F.struct(F.length("rule"), "rule")).alias("hit")
     verdicts = keep("verdicts", active.groupBy("host", "path", "fetch_day").agg(longest))

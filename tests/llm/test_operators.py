@@ -452,6 +452,18 @@ def test_decontamination_keeps_items_that_share_an_id_apart(spark):
     assert sorted(((r.doc_id, r.item_id) for r in found), key=repr) == want and all(r.score == 1.0 for r in found)
 
 
+def test_poisson_inversion_at_all_rates():
+    for rate in (1e-9, 0.3, 1.0, 7.5, 140.0, 171.0, 5000.0, 3e7):
+        first, table = mixing.poisson_table(rate)
+        assert len(table) < 26 * rate**0.5 + 64 and (np.diff(table) >= 0).all() and abs(table[-1] - 1) < 1e-6
+        u = (np.arange(20_000) + 0.5) / 20_000
+        drawn = first + np.searchsorted(table, u, side="right")
+        assert abs(drawn.mean() - rate) < 0.01 * max(rate, 1) ** 0.5
+        if rate > 0.1:
+            assert abs(drawn.var() / rate - 1) < 0.01
+    assert mixing.poisson_table(0.0)[1].tolist() == [1.0] and mixing.poisson_table(0.0)[0] == 0
+
+
 def test_shards_are_a_permutation(spark):
     for total in (1, 2, 3, 24, 1000, 4097):
         assert sorted(sharding.permuted(np.arange(total), total).tolist()) == list(range(total))
@@ -513,6 +525,8 @@ def test_url_filter_as_of(spark):
         (9, "http://notbad.example/", "2024-02-01", None), (10, None, "2024-02-01", None), (11, "no url", "2024-02-01", None),
         (12, "http://x.example/", "2024-02-01", "block"), (13, "http://x.example/", None, None), (14, "http://y.example/", "2024-02-01", None),
         (14, "http://y.example/", "2024-02-01", None), (15, "http://u@bad.example./" + "a/" * 5000, "2024-02-01", "block"),
+        (16, "http://bad.example" + "/b" * 60_000, "2024-02-01", "block"), (17, f"http://{'a.' * 20_000}ok.bad.example/ads", "2024-04-01", "allow"),
+        (18, "http://bad.example//ads", "2024-04-01", None), (19, "http://bad.example/ads//x", "2024-04-01", "block"),
     ]
     table = spark.createDataFrame([(*c[:3], "x") for c in cases], "page_id long, url string, fetch_day string, host string")
     log = spark.createDataFrame(entries, "rule string, day string, action string")
