@@ -7,6 +7,10 @@ finds all maximal segments of a document (Ruzzo and Tompa). Under the words' fre
 the best segment follows an extreme-value law (Karlin and Altschul); its expected number of chance segments
 becomes the evidence of the document, which a logistic curve turns into a score.
 
+A document is judged by words that count once, where they first occur, so that one repeated word is no evidence of its
+own. Passages are searched with every occurrence counted, under a chance law of their own: a passage that comes
+again in the same words is found again.
+
 Learning uses labelled rows of training folds only: at most ``FIT_ROWS`` of them, by hash of the id, so that the
 sample that is broadcast and the two tables of odds have a fixed size. Counts come from three folds, the
 calibration from the fourth.
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +57,7 @@ def fold(doc_id: Column) -> Column:
 
 @dataclass
 class Model:
-    """Scores of hashed words, or of the stem where the word was never counted; the chance law; the curve."""
+    """Scores of hashed words, or of the stem where the word was never counted; the chance laws; the curve."""
 
     word: np.ndarray
     stem: np.ndarray
@@ -60,21 +65,31 @@ class Model:
     scale: float
     slope: float
     offset: float
+    passage_rate: float = 1.0
+    passage_scale: float = 1.0
+
+    def scores(self, chunk: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Scores to judge documents by and scores to search passages with.
 
-    def scores(self, chunk: Words) -> np.ndarray:
-        """A word counts where it first occurs in its document, as in the counts; repeats only drift down."""
+        For documents a word counts where it first occurs, as in the counts, and repeats only drift down; for passages
+        every occurrence counts.
+        """
         slot = (chunk.hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         own = self.word[slot]
         of_stem = self.stem[(chunk.stems >> np.uint64(64 - STEM_BITS)).astype(np.int64)]
         value = np.where(np.isnan(own), of_stem, own)
         first = np.zeros(len(slot), bool)
         first[np.unique(chunk.doc << WORD_BITS | slot, return_index=True)[1]] = True
-        return np.where(first, value, np.minimum(value, 0)) - DRIFT
+        return np.where(first, value, np.minimum(value, 0)) - DRIFT, value - DRIFT
 
     def evidence(self, best: float, n: int) -> float:
         """Minus the log of the number of segments this good that chance would bring."""
         return self.rate * best - math.log(self.scale * max(n, 1)) if best > 0 else -math.log(self.scale * max(n, 1) + 1)
 
+    def chance(self, score: float, n: int) -> float:
+        """How likely n words of an untoxic document hold a passage this good."""
+        return -math.expm1(-math.exp(min(500.0, math.log(self.passage_scale * max(n, 1)) - self.passage_rate * score)))
+
     def score(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.offset + self.slope * evidence))))
 
@@ -159,40 +174,43 @@ def odds(counts: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
     return table(WORD_BITS, counts[0], prior, WORD_PRIOR), np.nan_to_num(stems, nan=0.0)
 
 
-def _best(model: Model, chunk: Words) -> Iterator[list[tuple[int, int, float]]]:
-    scores = model.scores(chunk)
-    for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
-        yield segments(scores[a:b])
+def _best(scores: np.ndarray) -> float:
+    return max((s for *_, s in segments(scores)), default=0.0)
+
+
+def _scores(model: Model, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Both kinds of scores, document by document."""
+    for _, chunk in words(texts, punctuation=True, stem=STEM_BYTES):
+        once, every = model.scores(chunk)
+        for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
+            yield once[a:b], every[a:b]
+
+
+def _histogram(scores: np.ndarray) -> dict[str, list[int]]:
+    """How often each score occurs, in tenths from -20 to 20."""
+    times = np.bincount(np.clip(np.round(scores * 10) + 200, 0, 400).astype(int), minlength=401)
+    some = np.flatnonzero(times)
+    return {"at": some.tolist(), "times": times[some].tolist()}
+
+
+HISTOGRAM = "struct<at: array<int>, times: array<int>>"
+CALIBRATED = f"toxic int, n long, best double, scores {HISTOGRAM}, passage_best double, passage_scores {HISTOGRAM}"
 
 
 def _calibration(handle):
-    """Best segment, length and label of calibration documents, and how often each score occurs in clean ones."""
+    """Length and label of calibration documents; of both kinds of scores the best segment and how often each occurs."""
+    histogram = pa.struct([("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
+    doubles = pa.float64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
         for batch in batches:
-            labels = batch.column(1).to_pylist()
-            best, sizes, low, mean = [], [], [], []
-            for _, chunk in words(batch.column(0), punctuation=True, stem=STEM_BYTES):
-                scores = model.scores(chunk)
-                for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
-                    own = scores[a:b]
-                    best.append(max((s for _, _, s in segments(own)), default=0.0))
-                    sizes.append(int(b - a))
-                    hist = np.bincount(np.clip(np.round(own * 10) + 200, 0, 400).astype(int), minlength=401)
-                    some = np.flatnonzero(hist)
-                    low.append(some.tolist())
-                    mean.append(hist[some].tolist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(labels, pa.int32()),
-                    pa.array(best, pa.float64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(low, pa.list_(pa.int64())),
-                    pa.array(mean, pa.list_(pa.int64())),
-                ],
-                ["toxic", "best", "n", "score10", "times"],
-            )
+            both = list(zip(*_scores(model, batch.column(0)), strict=True)) or [(), ()]
+            columns = [batch.column(1).cast(pa.int32()), pa.array([len(own) for own in both[0]], pa.int64())]
+            for kind in both:
+                columns += [pa.array([_best(own) for own in kind], doubles), pa.array([_histogram(own) for own in kind], histogram)]
+            names = ["toxic", "n", "best", "scores", "passage_best", "passage_scores"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -215,6 +233,17 @@ def chance_rate(values: np.ndarray, times: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def chance_law(clean: pd.DataFrame, best: str, scores: str) -> tuple[float, float]:
+    """Rate and scale of the extreme-value law that the best segments of untoxic documents follow."""
+    times = np.zeros(401, np.int64)
+    for found in clean[scores]:
+        times[np.asarray(found["at"], np.int64)] += np.asarray(found["times"], np.int64)
+    rate = chance_rate((np.arange(401) - 200) / 10, times)
+    # Gumbel: the median of rate * best - log(n) over chance documents is log(scale) minus log(log(2)).
+    centred = rate * clean[best].to_numpy() - np.log(clean["n"].to_numpy())
+    return rate, float(np.exp(np.median(centred) + math.log(math.log(2))))
+
+
 def curve(evidence: np.ndarray, label: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve, by Newton's method with a small ridge."""
     centre, width = evidence.mean(), max(evidence.std(), 1e-9)
@@ -253,20 +282,13 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return Model(blank, np.zeros(1 << STEM_BITS, np.float32), 1.0, 1.0, 1.0, -4.0)
     model = Model(found[0].astype(np.float32), found[1].astype(np.float32), 1.0, 1.0, 1.0, -4.0)
     handle = spark.sparkContext.broadcast(model)
-    tested = labelled.where(f"fold = {CALIBRATION_FOLD}").select("text", "toxic").mapInArrow(
-        _calibration(handle), "toxic int, best double, n long, score10 array<long>, times array<long>"
-    )
-    tested = tested.toPandas()
+    tested = labelled.where(f"fold = {CALIBRATION_FOLD}").select("text", "toxic")
+    tested = tested.mapInArrow(_calibration(handle), CALIBRATED).toPandas()
     clean = tested[(tested["toxic"] == 0) & (tested["n"] > 0)]
     if len(clean) < LEAST_CALIBRATION or tested["toxic"].sum() < LEAST_CALIBRATION:
         return model
-    times = np.zeros(401, np.int64)
-    for at, n in zip(clean["score10"], clean["times"], strict=True):
-        times[np.asarray(at)] += np.asarray(n)
-    model.rate = chance_rate((np.arange(401) - 200) / 10, times)
-    # Gumbel: the mean of rate * best - log(n) over chance documents is log(scale) plus Euler's constant.
-    centred = model.rate * clean["best"].to_numpy() - np.log(clean["n"].to_numpy())
-    model.scale = float(np.exp(np.median(centred) + math.log(math.log(2))))
+    model.rate, model.scale = chance_law(clean, "best", "scores")
+    model.passage_rate, model.passage_scale = chance_law(clean, "passage_best", "passage_scores")
     evidence = np.array([model.evidence(b, n) for b, n in zip(tested["best"], tested["n"], strict=True)])
     label = tested["toxic"].to_numpy().astype(float)
     model.slope, model.offset = curve(evidence, label, np.ones(len(label)))
@@ -278,20 +300,17 @@ PASSAGES = "array<struct<first: int, end: int, score: double, chance: double>>"
 
 def _score(handle):
     passage = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("chance", pa.float64())])
+    keys = ("first", "end", "score", "chance")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
         for batch in batches:
             scores, passages = [], []
-            for _, chunk in words(batch.column(1), punctuation=True, stem=STEM_BYTES):
-                for own, n in zip(_best(model, chunk), chunk.counts.tolist(), strict=True):
-                    scores.append(model.score(model.evidence(max((s for *_, s in own), default=0.0), n)))
-                    significant = []
-                    for first, end, s in own:
-                        chance = -math.expm1(-math.exp(-model.evidence(s, n)))
-                        if chance <= SIGNIFICANT:
-                            significant.append({"first": first, "end": end, "score": s, "chance": chance})
-                    passages.append(significant)
+            for once, every in _scores(model, batch.column(1)):
+                n = len(once)
+                scores.append(model.score(model.evidence(_best(once), n)))
+                found = ((first, end, s, model.chance(s, n)) for first, end, s in segments(every))
+                passages.append([dict(zip(keys, p, strict=True)) for p in found if p[3] <= SIGNIFICANT])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(passages, pa.list_(passage))],
                 ["doc_id", "score", "passages"],
@@ -304,10 +323,8 @@ def _below(handle, column: int, limit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
         for batch in batches:
-            kept = []
-            for _, chunk in words(batch.column(column).cast(pa.large_string()), punctuation=True, stem=STEM_BYTES):
-                for own, n in zip(_best(model, chunk), chunk.counts.tolist(), strict=True):
-                    kept.append(model.score(model.evidence(max((s for *_, s in own), default=0.0), n)) < limit)
+            texts = batch.column(column).cast(pa.large_string())
+            kept = [model.score(model.evidence(_best(once), len(once))) < limit for once, _ in _scores(model, texts)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return run
