@@ -43,7 +43,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four commits: all documents by white space; deletes of exact copies; the same again; a recount by BPE."""
+    """Four commits: all documents by white space; deletes of exact copies; the same again; a recount by BPE, after a compaction."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     work = Workspace(spark, "token-counts")
     state = token_counts.Rollups(spark, work.path("state"))
@@ -55,6 +55,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = copies.select(F.lit("delete").alias("change"), "doc_id", F.lit(None).cast("string").alias("text"), "source", "lang")
     for _ in range(2):
         state.commit("2-copies", copies, "space-1", plain)
+    state.compact()
     counted = token_counts.bpe_tokens()(F.col("text"))
     state.commit("3-recount", docs.withColumn("change", F.lit("revise")), "bpe-50k", counted)
     return state.totals()

@@ -9,6 +9,11 @@ A batch is written to a folder of its own name, ledger first and rollup last, an
 Spark's success marker of the rollup is there. Committing it again does nothing; a batch that was cut off is
 written anew in full. Batches are committed one after another.
 
+The ledger lies in BUCKETS folders by hash of the document, and a commit reads the buckets of its own documents only.
+Compaction folds all committed batches into one table of what is held and one of totals; later commits and totals
+read these and the batches after them, so their cost does not grow with history. It changes no result, may run between any two
+commits, and counts once its list of batches, written last, is complete; one that was cut off is written anew.
+
 Defined results: null text has 0 tokens. Null source and language are groups of their own. In one batch a
 ``doc_id`` counts once: repeated rows with the same change and text are one change, of different ones delete
 comes before revise before insert, then the smallest text. Inserting a document the ledger holds already and
@@ -24,11 +29,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches
 from feedgate.llm.bpe import TOKENIZER, encoder
 
 KEYS = ("source", "lang", "tokenizer")
-LEDGER = "doc_id long, source string, lang string, tokenizer string, tokens long, sign int"
+ENTRY = "doc_id long, source string, lang string, tokenizer string, tokens long, sign int, bucket int"
+LEDGER = f"{ENTRY}, batch string"
 ROLLUP = "source string, lang string, tokenizer string, documents long, tokens long"
+CHANGES = "doc_id long, order int, new_source string, new_lang string, new_tokens long, bucket int"
+
+# Part of the layout on disk: the same for all batches of a store.
+BUCKETS = 64
 
 
 def space_tokens(text: Column) -> Column:
@@ -49,56 +60,111 @@ def bpe_tokens(path: str = TOKENIZER):
     return count
 
 
+def bucket(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BUCKETS)).cast("int")
+
+
 class Rollups:
-    """The folder of committed batches."""
+    """The folder of committed batches and of their compactions."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root = spark, root.rstrip("/")
 
     def _path(self, batch: str, table: str) -> str:
         return f"{self.root}/{table}/batch={batch}"
 
-    def _exists(self, path: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    def _complete(self, pattern: str) -> list[str]:
+        """Names of the folders that hold Spark's success marker at ``pattern``, by one look at the file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        depth = len(pattern.split("/")) - pattern.split("/").index("*")
+        names = []
+        for status in found or []:
+            at = status.getPath()
+            for _ in range(depth):
+                at = at.getParent()
+            names.append(at.getName())
+        return sorted(names)
+
+    def _compaction(self) -> str | None:
+        """The latest complete compaction."""
+        numbers = self._complete("compacted/*/batches")
+        return f"{self.root}/compacted/{max(numbers, key=int)}" if numbers else None
+
+    def _folded(self, compaction: str | None) -> set[str]:
+        """Batches within a compaction: one short name for each commit."""
+        if compaction is None:
+            return set()
+        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{compaction}/batches").collect()}
+
+    def batches(self) -> list[str]:
+        """The committed batches."""
+        return [n.removeprefix("batch=") for n in self._complete("rollup/*")]
 
     def committed(self, batch: str) -> bool:
-        return self._exists(self._path(batch, "rollup") + "/_SUCCESS")
+        return batch in self.batches()
 
-    def batches(self) -> list[str]:
-        top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/rollup")
-        files = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(top):
-            return []
-        names = [s.getPath().getName().removeprefix("batch=") for s in files.listStatus(top)]
-        return sorted(n for n in names if self.committed(n))
-
-    def _read(self, table: str, schema: str) -> DataFrame:
-        paths = [self._path(b, table) for b in self.batches()]
-        if not paths:
+    def _read(self, table: str, schema: str, batches: list[str]) -> DataFrame:
+        if not batches:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        paths = [self._path(b, table) for b in batches]
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths)
+
+    def _entries(self) -> DataFrame:
+        """What the last compaction holds, and the ledgers of the batches after it."""
+        compaction = self._compaction()
+        folded = self._folded(compaction)
+        entries = self._read("ledger", LEDGER, [b for b in self.batches() if b not in folded]).drop("batch")
+        if compaction is not None:
+            entries = entries.unionByName(self.spark.read.schema(ENTRY).parquet(f"{compaction}/held"))
+        return entries
+
+    @staticmethod
+    def _summed(entries: DataFrame) -> DataFrame:
+        grouped = entries.groupBy("doc_id", "bucket", *KEYS, "tokens").agg(F.sum("sign").cast("int").alias("sign"))
+        return grouped.where("sign > 0")
 
     def held(self) -> DataFrame:
         """What the ledger holds per document: the last row of every document that is not deleted."""
-        rows = self._read("ledger", LEDGER)
-        grouped = rows.groupBy("doc_id", *KEYS, "tokens").agg(F.sum("sign").alias("sign"))
-        return grouped.where("sign > 0").drop("sign")
+        return self._summed(self._entries()).drop("sign", "bucket")
 
     def totals(self) -> DataFrame:
         """Documents and tokens by source, language and tokenizer version; groups that fell to zero are left out."""
-        summed = self._read("rollup", ROLLUP).groupBy(*KEYS).agg(
-            F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
-        )
+        compaction = self._compaction()
+        folded = self._folded(compaction)
+        sums = self._read("rollup", ROLLUP, [b for b in self.batches() if b not in folded]).select(*KEYS, "documents", "tokens")
+        if compaction is not None:
+            sums = sums.unionByName(self.spark.read.schema(ROLLUP).parquet(f"{compaction}/totals"))
+        summed = sums.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return summed.where("documents <> 0 or tokens <> 0")
 
+    def compact(self) -> bool:
+        """Fold all committed batches into one state; False if there is nothing new to fold."""
+        compaction, batches = self._compaction(), self.batches()
+        if set(batches) == self._folded(compaction):
+            return False
+        number = int(compaction.rsplit("/", 1)[1]) + 1 if compaction else 0
+        target = f"{self.root}/compacted/{number}"
+        self._by_bucket(self._summed(self._entries()), f"{target}/held")
+        self.totals().write.mode("overwrite").parquet(f"{target}/totals")
+        names = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{target}/batches")
+        return True
+
+    @staticmethod
+    def _by_bucket(rows: DataFrame, path: str) -> None:
+        """Rebalanced, so that a task does not write a file for each bucket; large buckets are split."""
+        rows.hint("rebalance", "bucket").write.mode("overwrite").parquet(path, partitionBy="bucket")
+
     def commit(self, batch: str, changes: DataFrame, tokenizer: str, tokens: Column) -> bool:
         """Commit ``changes(change, doc_id, text, source, lang)``; False if this batch was committed before.
 
-        Texts are counted once, before anything is shuffled; only ids, groups and counts travel.
+        Texts are counted once, before anything is shuffled; only ids, groups and counts travel. They are written, so that
+        the buckets to read are known and no text is counted again after a failure.
         """
         if self.committed(batch):
             return False
+        bounded_batches(self.spark)
         order = F.expr("case change when 'delete' then 0 when 'revise' then 1 when 'insert' then 2 end")
         text = F.col("text").cast("string")
         counted = changes.select(
@@ -112,11 +178,17 @@ class Rollups:
         first = F.min_by(
             F.struct("order", "new_source", "new_lang", "new_tokens"), F.struct("order", "text_hash", "new_source", "new_lang")
         )
-        one = counted.groupBy("doc_id").agg(first.alias("x")).select("doc_id", "x.*")
-        now = self.held()
-        both = one.join(now, "doc_id", "left").withColumn("is_held", F.col("tokenizer").isNotNull())
+        slim = counted.groupBy("doc_id").agg(first.alias("x")).select("doc_id", "x.*").withColumn("bucket", bucket(F.col("doc_id")))
+        slim.write.mode("overwrite").parquet(self._path(batch, "changes"))
+        one = self.spark.read.schema(CHANGES).parquet(self._path(batch, "changes"))
+        # At most BUCKETS numbers.
+        touched = [r.bucket for r in one.select("bucket").distinct().collect()]
+        mine = self._entries().where(F.col("bucket").isin(touched)).join(one.select("doc_id"), "doc_id", "left_semi")
+        both = one.join(self._summed(mine).drop("sign", "bucket"), "doc_id", "left")
+        both = both.withColumn("is_held", F.col("tokenizer").isNotNull())
         # One pass over the changes: both kinds of rows come from the same joined row.
         signed = both.select(
+            "bucket",
             F.explode(
                 F.array(
                     F.when(
@@ -135,11 +207,10 @@ class Rollups:
                         ),
                     ),
                 )
-            ).alias("row")
-        ).where("row is not null").select("row.*")
-        ledger = self._path(batch, "ledger")
-        signed.write.mode("overwrite").parquet(ledger)
-        rows = self.spark.read.schema(LEDGER).parquet(ledger)
+            ).alias("row"),
+        ).where("row is not null").select("row.*", "bucket")
+        self._by_bucket(signed, self._path(batch, "ledger"))
+        rows = self._read("ledger", LEDGER, [batch])
         rollup = rows.groupBy(*KEYS).agg(
             F.sum(F.col("sign").cast("long")).alias("documents"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens")
         )

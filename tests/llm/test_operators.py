@@ -217,6 +217,52 @@ def test_token_rollups_follow_changes_once(spark):
     assert commit("4") and len(totals()) == 2
 
 
+def test_token_rollups_read_compacted_state_and_touched_buckets(spark, tmp_path):
+    """Random changes, compacted at odd moments, against a dictionary; the state of a document has one row."""
+    rng = np.random.default_rng(7)
+    state = token_counts.Rollups(spark, str(tmp_path / "state"))
+    plain = token_counts.space_tokens(F.col("text"))
+    assert not state.compact()
+    held = {}
+    for batch in range(5):
+        ids = rng.choice(40, 12, replace=False).tolist()
+        rows = [(["insert", "revise", "delete"][rng.integers(0, 3)], i, "w " * int(rng.integers(0, 9)), f"s{i % 3}", None) for i in ids]
+        for change, i, text, source, lang in rows:
+            if change == "delete":
+                held.pop(i, None)
+            elif (change == "insert") != (i in held):
+                held[i] = (source, lang, "space-1", len(text.split()))
+        assert state.commit(str(batch), spark.createDataFrame(rows, "change string, doc_id long, text string, source string, lang string"), "space-1", plain)
+        if batch in (0, 3):
+            assert state.compact() and not state.compact()
+        assert sorted(tuple(r) for r in state.held().select("doc_id", *token_counts.KEYS, "tokens").collect()) == sorted((i, *v) for i, v in held.items())
+        want = {}
+        for source, _, _, n in held.values():
+            documents, tokens = want.get(source, (0, 0))
+            want[source] = (documents + 1, tokens + n)
+        assert {r.source: (r.documents, r.tokens) for r in state.totals().collect()} == want
+    assert state.batches() == list("01234")
+    assert not state.commit("1", spark.createDataFrame([("delete", 1, None, None, None)], "change string, doc_id long, text string, source string, lang string"), "space-1", plain)
+    # Only the batch after the last compaction, and the compaction itself, are read.
+    files = "".join(state._entries().inputFiles())
+    assert "batch=4" in files and "compacted/1" in files and "batch=3" not in files and "compacted/0" not in files
+
+
+def test_token_counts_query_against_plain_python(spark):
+    from feedgate.llm.queries import op3_token_counts
+
+    sf = "/root/testdata/sf0.001"
+    encode = encoder(TOKENIZER).encode_ordinary
+    first, want = {}, {}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        if first.setdefault(r.text or "", r.doc_id) == r.doc_id:
+            documents, tokens = want.get((r.source, r.lang, "bpe-50k"), (0, 0))
+            want[r.source, r.lang, "bpe-50k"] = (documents + 1, tokens + len(encode(r.text or "")))
+    found = op3_token_counts(spark, sf).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in found} == want
+
+
 def brute_spans(text):
     out = []
     for m in re.finditer(secrets.ASSIGN.pattern, text, re.I | re.A):
@@ -339,9 +385,15 @@ def test_toxicity_learns_and_survives(spark):
         rows.append((i, " ".join(own)))
         labels.append((i, int(i % 4 == 0)))
     rows += [(1000, None), (1001, ""), (None, "vile1"), (1002, "w1 " * 300_000 + "vile1 vile2 vile3"), (1000, None)]
+    again = "vile1 vile2 vile3 vile4 vile5"
+    rows += [(1003, f"{prose(rng, 200)} {again} {prose(rng, 300)} {again} {prose(rng, 200)}")]
     labels += [(1001, None), (None, 1), (3, 7), (5000, 1)]
     docs, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
-    found = toxicity.digest(toxicity.toxic_passages(docs, known)).collect()
+    scored = toxicity.toxic_passages(docs, known)
+    found = toxicity.digest(scored).collect()
+    # The same passage again, in the same words, is a passage again.
+    passages = scored.where("doc_id = 1003").first().passages
+    assert [(p.first, p.end) for p in passages] == [(200, 205), (505, 510)] and all(p.chance <= 0.01 for p in passages)
     assert len(found) == len(rows)
     held = [r for r in found if r.held_out and r.doc_id < 900]
     assert {r.doc_id for r in held} == {i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0}
