@@ -9,8 +9,9 @@ Defined results: null text is empty, a null role has a marker of its own. Turns
 and text, nulls first. A turn that alone exceeds the budget is kept whole in a window of its own. Rows without
 ``conv_id`` form one conversation. Repeated rows are repeated turns. Other columns are not read.
 
-A task streams through its sorted rows and holds one window, so memory is bounded by the budget and the
-longest turn, however long a conversation is.
+Turns are tokenised where they are read, before conversations are gathered, so a long conversation costs its task only
+the addition of counts. That task streams through its sorted rows and holds one window, so memory is bounded by the
+budget and the longest turn, however long a conversation is. An empty table gives no windows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedgate.llm.batches import bounded_batches, slices
 from feedgate.llm.bpe import TOKENIZER, encoder
 
 BUDGET = 1024
@@ -148,20 +150,31 @@ def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _format(budget: int, history: int, tokenizer: str):
+def _counted(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
+        for batch in batches:
+            for part in slices(batch, "text"):
+                said = zip(part.column("role").to_pylist(), part.column("text").to_pylist(), strict=True)
+                tokens = pa.array([len(encode(written(role, text or "")[0])) for role, text in said], pa.int32())
+                yield part.append_column("tokens", tokens)
+
+    return run
+
+
+def _format(budget: int, history: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, state, schema = None, None, None
         for batch in batches:
             schema = pa.schema([pa.field("conv_id", batch.schema.field(0).type), *WINDOW_FIELDS])
             out = []
-            for conv, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, role, text, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or conv != at:
                     if state is not None:
                         out.append((at, *state.close()))
                     at, state = conv, Windows(budget, history)
                 formatted, a, b = written(role, text or "")
-                closed = state.add((role, formatted, a, b, len(encode(formatted))))
+                closed = state.add((role, formatted, a, b, tokens))
                 if closed is not None:
                     out.append((at, *closed))
             if out:
@@ -176,10 +189,12 @@ def format_conversations(
     conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokenizer: str = TOKENIZER
 ) -> DataFrame:
     """Windows of all conversations (``conv_id``, ``turn``, ``role``, ``text``): one row each, texts and loss spans."""
+    bounded_batches(conversations.sparkSession)
     rows = conversations.select("conv_id", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
-    kind = rows.schema["conv_id"].dataType.simpleString()
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(_format(budget, history, tokenizer), f"conv_id {kind}, {WINDOWS}")
+    kind, turn = (rows.schema[c].dataType.simpleString() for c in ("conv_id", "turn"))
+    counted = rows.mapInArrow(_counted(tokenizer), f"conv_id {kind}, turn {turn}, role string, text string, tokens int")
+    ordered = counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.select("conv_id", "role", "text", "tokens").mapInArrow(_format(budget, history), f"conv_id {kind}, {WINDOWS}")
 
 
 READ_FIELDS = [
