@@ -1,0 +1,117 @@
+"""What keeps a task and the written tables small when the feed grows."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import collected
+from pyspark.sql import functions as F
+
+from checks import fixture
+from feedgate import FeedContract
+from feedgate.operators import versions
+from feedgate.plans import workspace
+from feedgate.plans.workspace import Workspace, fit_partitions
+from feedgate.sinks import tables
+
+CONTRACT = FeedContract()
+
+
+@pytest.fixture
+def planned(spark):
+    """The planned number of shuffle partitions, put back afterwards."""
+    before = spark.conf.get(workspace.PLANNED_PARTITIONS, None)
+    spark.conf.unset(workspace.PLANNED_PARTITIONS)
+    yield lambda: spark.conf.get(workspace.PLANNED_PARTITIONS, None)
+    if before is None:
+        spark.conf.unset(workspace.PLANNED_PARTITIONS)
+    else:
+        spark.conf.set(workspace.PLANNED_PARTITIONS, before)
+
+
+def test_partitions_grow_with_the_feed_and_never_shrink(spark, planned):
+    fit_partitions(spark, 2 * workspace.LINES_PER_PARTITION)
+    assert planned() is None
+    fit_partitions(spark, 10 * workspace.LINES_PER_PARTITION + 1)
+    assert planned() == "11"
+    fit_partitions(spark, 0)
+    assert planned() == "11"
+
+
+def test_shuffles_start_with_the_planned_partitions(spark, planned):
+    fit_partitions(spark, 9 * workspace.LINES_PER_PARTITION)
+    counted = spark.range(100).groupBy((F.col("id") % 7).alias("key")).count()
+    assert ", 9), ENSURE_REQUIREMENTS" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_build_plans_for_the_lines_that_arrived(spark, planned, tmp_path, monkeypatch):
+    from feedgate.plans import build as module
+
+    told = []
+    monkeypatch.setattr(module, "fit_partitions", lambda _, lines: told.append(lines))
+    deliveries, graph = fixture.write_deliveries(spark, "/root/testdata/sf0.001", str(tmp_path / "in"))
+    module.build(spark, deliveries, graph, str(tmp_path / "out"), fixture.contract(spark, "/root/testdata/sf0.001"))
+    assert told == [sum(spark.read.parquet(d.path).count() if not d.is_delimited else spark.read.csv(d.path, sep="|", header=True).count() for d in deliveries)]
+
+
+def test_partitions_are_written_side_by_side(spark):
+    before = spark.conf.get(tables.WRITERS)
+    with pytest.raises(RuntimeError), tables.side_by_side(spark):
+        assert int(spark.conf.get(tables.WRITERS)) >= tables.OPEN_DELIVERIES
+        raise RuntimeError
+    assert spark.conf.get(tables.WRITERS) == before
+    lines = spark.range(200).select("id", (F.col("id") % 40).cast("string").alias("month"))
+    kept = Workspace(spark, "side", compression="zstd").keep("lines", lines, partition="month")
+    assert collected(kept, "id", "month") == collected(lines, "id", "month")
+
+
+def test_packed_hashes_choose_the_same_versions(spark):
+    slim = spark.range(400).select(
+        F.col("id").alias("_line_id"),
+        (F.col("id") % 20).cast("string").alias("claim_id"),
+        F.when(F.col("id") % 3 > 0, F.lit(1)).alias("claim_line"),
+        F.md5((F.col("id") % 130).cast("string")).alias("_row_hash"),
+        F.concat(F.lit("2025-0"), (F.col("id") % 4 + 1).cast("string")).alias("_delivery_month"),
+        F.lit(None).cast("string").alias("_replaces"),
+    )
+    plain = versions.earliest_copies(slim, CONTRACT)
+    packed = versions.earliest_copies(versions.packed(slim), CONTRACT)
+    assert dict(packed.dtypes)["_row_hash"] == "binary"
+    assert collected(versions.unpacked(packed), *slim.columns) == collected(plain, *slim.columns)
+    chosen = versions.latest_versions(packed, CONTRACT)
+    assert collected(chosen, "_line_id") == collected(versions.latest_versions(plain, CONTRACT), "_line_id")
+
+
+def test_latest_is_written_without_the_hash(feed):
+    plan = feed({}, {"claim_id": "B"}, {"claim_id": "B", "units": "2", "month": "2025-02"})
+    assert "_row_hash" not in plan.latest.columns
+    assert collected(plan.latest, "claim_id", "_delivery_month") == [("A", "2025-01"), ("B", "2025-02")]
+    assert [len(r._row_hash) for r in plan.earliest.collect()] == [32] * 3
+
+
+def test_lines_with_few_copies_are_numbered_where_they_are(spark, monkeypatch):
+    """Only chunks of a line with many copies are dealt out; both kinds are numbered whole."""
+    monkeypatch.setattr(versions, "COPIES_PER_CHUNK", 3)
+    lines = spark.range(60).select(
+        F.when(F.col("id") < 10, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("claim_id"),
+        F.lit(1).alias("claim_line"),
+        F.lit("h").alias("_row_hash"),
+        F.when(F.col("id") < 3, F.lit("2025-01")).otherwise(F.lit("2025-02")).alias("_delivery_month"),
+    )
+    ranked = versions.dedup_rank(lines, CONTRACT)
+    assert sorted(r.dup_rank for r in ranked.where("claim_id = 'HOT'").collect()) == list(range(1, 11))
+    assert ranked.where("claim_id <> 'HOT'").agg(F.count("*"), F.max("dup_rank")).first()[:] == (50, 1)
+    dealt = ranked._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(dealt) == 2 and "Union" in dealt[0]
+
+
+def test_deliveries_sent_as_staged_are_not_written_twice(spark, tmp_path):
+    sf_dir, folder = "/root/testdata/sf0.001", str(tmp_path / "in")
+    deliveries, _ = fixture.write_deliveries(spark, sf_dir, folder)
+    left = sorted(p.name[-2:] for p in (tmp_path / "in/staged").glob("_delivery_month=*"))
+    assert left == ["04", "05", "09"]
+    raw = fixture.raw_claims(spark, sf_dir)
+    for d in (d for d in deliveries if d.month in ("2025-01", "2025-11")):
+        columns = [c for c in raw.columns if not c.startswith("_")]
+        sent = spark.read.parquet(d.path)
+        assert sent.columns == columns
+        assert collected(sent, *columns) == collected(raw.where(F.col("_delivery_month") == d.month), *columns)
