@@ -88,6 +88,14 @@ def test_latest_is_written_without_the_hash(feed):
     assert [len(r._row_hash) for r in plan.earliest.collect()] == [32] * 3
 
 
+def test_ids_of_all_lines_are_not_broadcast(feed):
+    plan = feed({}, {"claim_id": "B"}, {"claim_id": "B"})
+    found = versions.exceptions(plan.slim, plan.latest, plan.replaced)
+    joins = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in joins and "LeftAnti" in joins[joins.index("SortMergeJoin"):].split("\n")[0]
+    assert collected(found, "_exception") == [("dropped",)]
+
+
 def test_lines_with_few_copies_are_numbered_where_they_are(spark, monkeypatch):
     """Only chunks of a line with many copies are dealt out; both kinds are numbered whole."""
     monkeypatch.setattr(versions, "COPIES_PER_CHUNK", 3)
