@@ -6,26 +6,32 @@ import pytest
 from conftest import collected
 from pyspark.sql import functions as F
 
+from checks import fixture
 from feedgate.plans.workspace import Workspace
 from feedgate.sinks import tables
 
 
-def test_mixed_tasks_sort_small_shares(spark, monkeypatch):
-    """A partitioned table is written by tasks of a bounded size, and the session's setting comes back."""
-    before, seen = spark.conf.get(tables.ADVISORY), []
+def test_deliveries_are_derived_by_small_tasks(spark, monkeypatch, tmp_path):
+    """Lines much wider than what was shuffled are written by tasks of a bounded size, and the session's setting comes back."""
+    before = spark.conf.get(tables.ADVISORY)
     with pytest.raises(RuntimeError), tables.small_tasks(spark):
-        assert int(spark.conf.get(tables.ADVISORY)) == tables.SORTED_BYTES
         raise RuntimeError
     assert spark.conf.get(tables.ADVISORY) == before
-    original = tables._set
-    monkeypatch.setattr(tables, "_set", lambda s, name, value: seen.append(name) or original(s, name, value))
-    lines = spark.range(100).select("id", (F.col("id") % 7).cast("string").alias("month"))
-    work = Workspace(spark, "mixed")
-    assert collected(work.keep("lines", lines, partition="month"), "id", "month") == collected(lines, "id", "month")
-    assert tables.ADVISORY in seen
-    seen.clear()
-    work.keep("plain", lines)
-    assert tables.ADVISORY not in seen
+    written = []
+    keep = tables._set
+    monkeypatch.setattr(tables, "_set", lambda session, name, value: written.append((name, value)) or keep(session, name, value))
+    fixture.write_deliveries(spark, "/root/testdata/sf0.001", str(tmp_path / "in"))
+    assert (tables.ADVISORY, str(tables.SORTED_BYTES)) in written
+    assert spark.conf.get(tables.ADVISORY) == before
+
+
+def test_a_task_that_meets_several_deliveries_sorts_them(spark):
+    """Whole tables come back however many deliveries a task holds."""
+    lines = spark.range(100).select("id", (F.col("id") % 7).cast("string").alias("month")).coalesce(1)
+    with tables.side_by_side(spark):
+        assert int(spark.conf.get(tables.WRITERS)) == tables.OPEN_DELIVERIES == 1
+    kept = Workspace(spark, "mixed").keep("lines", lines, partition="month")
+    assert collected(kept, "id", "month") == collected(lines, "id", "month")
 
 
 def test_published_tables_are_zstd(spark, tmp_path):
